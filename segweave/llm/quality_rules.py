@@ -55,54 +55,53 @@ def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.sort_array(F.coalesce(windows, F.array().cast("array<long>"))).alias("_s"),
     )
-    return second.select(*keep, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", _repeated(low).alias("n_repeat_words"))
+    passed = [*keep, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines"]
+    meets = lambda i: F.get("_s", i).bitwiseAND(~low) == F.get("_s", i - 1).bitwiseAND(~low)
+    close = F.when(F.size("_s") > 1, F.filter(F.sequence(F.lit(1), F.size("_s") - 1), meets)).otherwise(F.array().cast("array<int>"))
+    third = second.select(*passed, "_w", "_s", close.alias("_c"))
+    # an id that is never negative: filters on the result stay above it, or the optimizer would copy all of the above into them
+    repeats = F.when((F.size("_c") == 0) | (F.monotonically_increasing_id() < 0), F.lit(0).cast("long")).otherwise(_repeated(low))
+    return third.select(*passed, repeats.alias("n_repeat_words"))
 
 
-def _repeated(low: int) -> Column:
-    """Positions that repeated windows cover, from the sorted hashes `_s` of the words `_w`."""
+def _held(value: Column, use) -> Column:
+    """use(value), with value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    def at(i):
-        return F.get("_s", i).bitwiseAND(low).cast("int")
 
-    def same(i, j):
-        """Windows i and j of the sorted array have the same words."""
-        p, q = at(i), at(j)
-        return (F.get("_w", p) == F.get("_w", q)) & (F.get("_w", p + 1) == F.get("_w", q + 1)) & (F.get("_w", p + 2) == F.get("_w", q + 2))
+def _covered(marks: Column) -> Column:
+    """Words that windows starting at the sorted positions cover."""
+    steps = F.transform(marks, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(marks, k + 1) - p, F.lit(3))))
+    return F.aggregate(steps, F.lit(0).cast("long"), lambda acc, x: acc + x)
 
-    def meets(i, j):
-        return F.get("_s", i).bitwiseAND(~low) == F.get("_s", j).bitwiseAND(~low)
 
-    order = F.sequence(F.lit(1), F.size("_s") - 1)
-    close = F.filter(order, lambda i: meets(i, i - 1))
-    clash = F.exists(close, lambda i: ~same(i, i - 1)) | (F.size("_s") > low)
-    marks = F.array_sort(F.array_distinct(F.flatten(F.transform(close, lambda i: F.array(at(i - 1), at(i))))))
-    exact_windows = F.sort_array(F.transform(F.sequence(F.lit(0), F.size("_w") - 3), lambda i: F.struct(F.get("_w", i).alias("a"), F.get("_w", i + 1).alias("b"), F.get("_w", i + 2).alias("c"), i.alias("i"))))
+def _starts(pairs: Column) -> Column:
+    return F.array_sort(F.array_distinct(F.flatten(pairs)))
 
-    def exact_marks(e):
-        def equal(i, j):
-            x, y = F.get(e, i), F.get(e, j)
-            return (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
 
-        hits = F.filter(F.sequence(F.lit(1), F.size(e) - 1), lambda i: equal(i, i - 1))
-        return F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda i: F.array(F.get(e, i - 1)["i"], F.get(e, i)["i"])))))
+def _repeated(low: int) -> Column:
+    """Words in repeated windows, from the sorted hashes `_s`, the places `_c` where neighbours meet and the words `_w`."""
 
-    def covered(m):
-        return F.aggregate(F.transform(m, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(m, k + 1) - p, F.lit(3)))), F.lit(0).cast("long"), lambda acc, x: acc + x)
+    def at(i):
+        return F.get("_s", i).bitwiseAND(low).cast("int")
 
-    def held(value, use):
-        """use(value), with value computed once."""
-        return F.get(F.transform(F.array(value), use), F.lit(0))
+    def differ(i):
+        p, q = at(i), at(i - 1)
+        return (F.get("_w", p) != F.get("_w", q)) | (F.get("_w", p + 1) != F.get("_w", q + 1)) | (F.get("_w", p + 2) != F.get("_w", q + 2))
 
-    exact = held(held(exact_windows, exact_marks), covered)
-    return F.when(F.size("_s") < 2, F.lit(0).cast("long")).when(clash, exact).otherwise(held(marks, covered))
+    clash = F.exists("_c", differ) | (F.size("_s") > low)
+    by_hash = _starts(F.transform("_c", lambda i: F.array(at(i - 1), at(i))))
+    windows = F.sort_array(F.transform(F.sequence(F.lit(0), F.size("_w") - 3), lambda i: F.struct(F.get("_w", i).alias("a"), F.get("_w", i + 1).alias("b"), F.get("_w", i + 2).alias("c"), i.alias("i"))))
 
+    def by_words(e):
+        equal = lambda i: F.struct(F.get(e, i)["a"], F.get(e, i)["b"], F.get(e, i)["c"]) == F.struct(F.get(e, i - 1)["a"], F.get(e, i - 1)["b"], F.get(e, i - 1)["c"])
+        return _starts(F.transform(F.filter(F.sequence(F.lit(1), F.size(e) - 1), equal), lambda i: F.array(F.get(e, i - 1)["i"], F.get(e, i)["i"])))
 
-def ratio(a: str, b: str) -> Column:
-    return F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))
+    return F.when(clash, _held(_held(windows, by_words), _covered)).otherwise(_held(by_hash, _covered))
 
 
 #: Bit, name and failing condition of each rule; conditions are in whole numbers where the base fixes them.
-RULES: list[tuple[str, Column | str]] = [
+RULES: list[tuple[str, str]] = [
     ("few_words", "n_words < 50"),
     ("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
     ("many_words", "n_words > 200000"),
@@ -148,7 +147,7 @@ def ablation(book: DataFrame, policy: str = "v1") -> DataFrame:
     rules = F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(1 << k).cast("long").alias("bit")) for k, (name, _) in enumerate(RULES) if name in POLICIES[policy]])
     each = words.withColumn("r", F.explode(rules)).select("docs", "bits", "r.rule", "r.bit")
     total = lambda when: F.sum(F.when(when, F.col("docs")).otherwise(0)).alias
-    hit, rest = F.col("bits").bitwiseAND(F.col("bit")) != 0, F.col("bits").bitwiseAND(~F.col("bit"))
+    hit, rest = F.col("bits").bitwiseAND(F.col("bit")) != 0, F.col("bits").bitwiseAND(F.bitwise_not("bit"))
     return each.groupBy("rule").agg(total(hit)("failing"), total(hit & (rest == 0))("only_this"), total(rest == 0)("kept_without"), F.bit_or("bits").alias("seen_bits"))
 
 
