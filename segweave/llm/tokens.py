@@ -11,13 +11,18 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections import Counter
 
 import numpy as np
 
 #: Distinct pieces that a Python worker keeps before it starts anew.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 1_600_000
+#: Frequent pieces kept apart, and the pieces after which they are chosen.
+HOT_PIECES, HOT_AFTER = 30_000, 1_000_000
 #: White space but space and line feed, a fixed Unicode list.
 _OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Marks that may be encoded apart from the letter before them.
+MARKS = ".,!?;:#*$%&"
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -38,10 +43,14 @@ def spaced(piece: str) -> str:
 
 
 class Memo:
-    """What `fill` finds for each piece, kept by piece; texts are looked up piece by piece."""
+    """What `fill` finds for each piece, kept by piece; texts are looked up piece by piece.
+
+    Pieces that are frequent in the first texts lie in a small dictionary that
+    stays in the processor's caches; it is asked first and never cleared.
+    """
 
     def __init__(self, fill):
-        self.fill, self.first, self.later = fill, {}, {}
+        self.fill, self.first, self.later, self.hot, self.seen = fill, {}, {}, {}, Counter()
 
     def __call__(self, texts: list[str]) -> list[tuple]:
         """For each text, what was found for its first piece and the list for its others."""
@@ -51,18 +60,23 @@ class Memo:
         fresh = list({c[0] for c in cut}.difference(self.first))
         self.fill(self.first, fresh, fresh)
         heads = [self.first[c.pop(0)] for c in cut]
-        look, lacking, gaps = self.later.get, {}, []
-        found = [[*map(look, c)] for c in cut]
-        for c, got in zip(cut, found, strict=True):
-            at = -1
-            for _ in range(got.count(None)):
-                at = got.index(None, at + 1)
-                gaps.append((got, at, c[at]))
-        if gaps:
-            lacking = list({p for _, _, p in gaps})
+        found = [[*map(self.hot.get, c)] for c in cut]
+        gaps = [[i for i, g in enumerate(got) if g is None] for got in found]
+        rest = [[c[i] for i in at] for c, at in zip(cut, gaps, strict=True)]
+        known = [[*map(self.later.get, r)] for r in rest]
+        lacking = list({p for r, k in zip(rest, known, strict=True) if None in k for p, g in zip(r, k, strict=True) if g is None})
+        if lacking:
             self.fill(self.later, lacking, [spaced(p) for p in lacking])
-            for got, at, piece in gaps:
-                got[at] = look(piece)
+            known = [[*map(self.later.__getitem__, r)] if None in k else k for r, k in zip(rest, known, strict=True)]
+        for got, at, k in zip(found, gaps, known, strict=True):
+            for i, v in zip(at, k, strict=True):
+                got[i] = v
+        if not self.hot:
+            for r in rest:
+                self.seen.update(r)
+            if self.seen.total() > HOT_AFTER:
+                self.hot = {p: self.later[p] for p, n in self.seen.most_common(HOT_PIECES) if n > 2 and p in self.later}
+                self.seen.clear()
         return list(zip(heads, found, strict=True))
 
 
@@ -75,7 +89,7 @@ class PieceEncoder:
 
         self.model = Tokenizer.from_file(path)
         self.dtype = np.dtype("u2" if self.model.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "u4")
-        self.marks = dict(zip(".,!?;:", self.encode([*".,!?;:"]), strict=True))
+        self.marks = {"": b""}
         self.memo = Memo(self.fill)
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -83,16 +97,28 @@ class PieceEncoder:
         return [array(code, f.ids).tobytes() for f in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def fill(self, known: dict[str, bytes], fresh: list[str], texts: list[str]) -> None:
-        """A mark that ends a piece after a Latin letter is a pre-token of its own, so such a piece is its stem's ids and the mark's."""
-        marks = self.marks
-        stems = {t[:-1] if t[-1:] in marks and "a" <= t[-2:-1].lower() <= "z" else t for t in texts}
-        ids = {}
-        need = list(stems)
-        for at in range(0, len(need), 4096):
-            ids.update(zip(need[at : at + 4096], self.encode(need[at : at + 4096]), strict=True))
+        """Marks that end a piece after a Latin letter are a pre-token of their own, so such a piece is its stem's ids and the marks'."""
+        marks, wanted, ends = self.marks, {}, []
         for piece, text in zip(fresh, texts, strict=True):
-            got = ids.get(text)
-            known[piece] = ids[text[:-1]] + marks[text[-1]] if got is None else got
+            stem = text.rstrip(MARKS)
+            if len(stem) < len(text) and "a" <= stem[-1:].lower() <= "z":
+                mark = text[len(stem) :]
+                if mark not in marks:
+                    marks[mark] = self.encode([mark])[0]
+                ends.append((piece, stem, mark))
+                found = known.get(piece[: -len(mark)])
+                if found is not None:
+                    wanted[stem] = found
+                else:
+                    wanted.setdefault(stem)
+            else:
+                ends.append((piece, text, ""))
+                wanted.setdefault(text)
+        need = [w for w, found in wanted.items() if found is None]
+        for at in range(0, len(need), 4096):
+            wanted.update(zip(need[at : at + 4096], self.encode(need[at : at + 4096]), strict=True))
+        for piece, stem, mark in ends:
+            known[piece] = wanted[stem] + marks[mark]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         return [first + b"".join(rest) for first, rest in self.memo(texts)]
