@@ -17,6 +17,7 @@ held out; extra columns are ignored; an empty table gives no row.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,21 +30,39 @@ from . import shared
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _SLOT_BITS = 20
+#: Characters whose grams are held at once.
+SLICE = 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the 1- to 3-grams of the texts, and the text of each."""
-    joined = [t.lower() for t in texts]
-    size = np.array([len(t) for t in joined], np.int64)
-    cp = np.frombuffer("".join(joined).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    row = np.repeat(np.arange(len(joined)), size)
+    size = np.array([len(t) for t in texts], np.int64)
+    cp = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    row = np.repeat(np.arange(len(texts)), size)
     b, t = row[1:] == row[:-1], row[2:] == row[:-2]
     two = (cp[:-1] << np.uint64(21) | cp[1:] | np.uint64(1 << 63))[b] if len(cp) > 1 else cp[:0]
     three = (cp[:-2] << np.uint64(42) | cp[1:-1] << np.uint64(21) | cp[2:])[t] if len(cp) > 2 else cp[:0]
     return np.concatenate([cp | np.uint64(3 << 62), two, three]), np.concatenate([row, row[1:][b], row[2:][t]])
 
 
+def windows(texts: list[str], most: int = SLICE) -> Iterator[tuple[list[str], np.ndarray]]:
+    """The lower-cased texts in groups of about `most` characters with their rows; longer texts in slices that share 2 characters, so no gram is lost."""
+    group, rows, held = [], [], 0
+    for row, text in enumerate(texts):
+        text = text.lower()
+        for at in range(0, max(1, len(text) - 2), most):
+            part = text[at : at + most + 2]
+            if group and held + len(part) > most:
+                yield group, np.array(rows)
+                group, rows, held = [], [], 0
+            group.append(part)
+            rows.append(row)
+            held += len(part)
+    if group:
+        yield group, np.array(rows)
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -54,11 +73,12 @@ class Model:
     bias: np.ndarray
 
     def presence(self, texts: list[str]) -> np.ndarray:
-        code, row = grams(texts)
-        at = self.slots[(code * _MIX) >> np.uint64(64 - _SLOT_BITS)]
-        hit = (at >= 0) & (self.codes[at] == code)
         out = np.zeros((len(texts), len(self.codes)), np.float32)
-        out[row[hit], at[hit]] = 1
+        for group, rows in windows(texts):
+            code, row = grams(group)
+            at = self.slots[(code * _MIX) >> np.uint64(64 - _SLOT_BITS)]
+            hit = (at >= 0) & (self.codes[at] == code)
+            out[rows[row[hit]], at[hit]] = 1
         return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
@@ -88,8 +108,11 @@ def fit(rows: list[tuple[str, str]], landmarks: int = 192, features: int = 4096,
     languages = sorted({r[1] for r in rows})
     if not rows:
         return Model([], *[np.zeros((0, 0), np.float32)] * 4, np.zeros(0))
-    code, row = grams([r[0] for r in rows])
-    found, seen = np.unique(_distinct(code, row), return_counts=True)
+    parts = []
+    for group, row_of in windows([r[0] for r in rows], 1 << 17):
+        code, row = grams(group)
+        parts.append(_distinct(code, row_of[row]))
+    found, seen = np.unique(np.concatenate(parts), return_counts=True)
     order = np.lexsort((found, -seen))
     slot = (found * _MIX) >> np.uint64(64 - _SLOT_BITS)
     _, first = np.unique(slot[order], return_index=True)  # one code a slot, the most common
