@@ -52,6 +52,7 @@ class _WordHash(dict):
 
 
 _HASH = _WordHash()
+shared.CACHES["words"] = _HASH.clear
 
 
 def shingles(text: str, size: int = WORDS) -> np.ndarray:
@@ -92,7 +93,7 @@ def profiles(docs: DataFrame) -> DataFrame:
         d1, d2 = zip(*[_digest(f.tobytes()) for f in found], strict=True) if found else ((), ())
         return pa.RecordBatch.from_pydict({"doc_id": pa.array(columns[0], pa.int64()), "n_shingles": pa.array([len(f) for f in found], pa.int64()), "d1": pa.array(d1, pa.int64()), "d2": pa.array(d2, pa.int64()), "bands": pa.array([band_keys(f).tobytes() if len(f) else None for f in found], pa.binary())})
 
-    return shared.text_map(docs, ["doc_id"], step, "doc_id long, n_shingles long, d1 long, d2 long, bands binary")
+    return shared.text_map(docs, ["doc_id"], step, "doc_id long, n_shingles long, d1 long, d2 long, bands binary", "words")
 
 
 def _digest(data: bytes) -> list[int]:
@@ -227,7 +228,7 @@ def compared(docs: DataFrame, members: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_pydict({"rep": pa.array(columns[0], pa.int64()), "d1": pa.array(d1, pa.int64()), "d2": pa.array(d2, pa.int64()), "set": pa.array(found, pa.binary())})
 
     wanted = shared.rows_with(docs.select(F.col("doc_id").alias("rep"), "text").where("rep IS NOT NULL"), members.select("rep").distinct(), "rep")
-    found = shared.text_map(wanted, ["rep"], sets, "rep long, d1 long, d2 long, set binary").where(F.length("set") > 0)
+    found = shared.text_map(wanted, ["rep"], sets, "rep long, d1 long, d2 long, set binary", "words").where(F.length("set") > 0)
     found = found.groupBy("rep").agg(F.min(F.struct("d1", "d2", "set")).alias("own")).select("rep", "own.set")
     rows = members.join(found, "rep").select("bucket", "rep", "set", F.length("set").alias("size"))
 

@@ -112,7 +112,7 @@ def packed(docs: DataFrame, vocabulary: str, length: int = 1024, end_id: int = 0
     def encoded(batches):
         encode = encoder(vocabulary)
         end = np.array([end_id], encode.dtype).tobytes()
-        for batch in shared.small_batches(shared.steady(batches)):
+        for batch in shared.small_batches(shared.steady(batches, "tokens")):
             ids = [x + end for x in encode([t or "" for t in batch.column(1).to_pylist()])]
             tokens = [np.frombuffer(x, encode.dtype) for x in ids]
             ties = np.array([zlib.crc32(str(d).encode()) >> (32 - TIE_BITS) for d in batch.column(0).to_pylist()], np.int64)

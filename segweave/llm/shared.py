@@ -61,10 +61,20 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def steady(batches: Iterator) -> Iterator:
-    """The batches, with the cycle collector at rest: it would walk the workers' large caches again and again."""
+#: What empties each cache that Python workers keep between tasks, by the name of its user.
+CACHES: dict[str, Callable[[], None]] = {}
+
+
+def steady(batches: Iterator, user: str = "") -> Iterator:
+    """The batches, with the cycle collector at rest: it would walk the workers' large caches again and again.
+
+    Workers serve one operator after another; caches of others than `user` are emptied first.
+    """
     import gc
 
+    for name, clear in CACHES.items():
+        if name != user:
+            clear()
     gc.disable()
     try:
         yield from batches
@@ -86,11 +96,11 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str = "text", limit
             yield batch.slice(first)
 
 
-def text_map(docs: DataFrame, columns: list[str], step: Callable[[list, list], pa.RecordBatch], schema: str) -> DataFrame:
+def text_map(docs: DataFrame, columns: list[str], step: Callable[[list, list], pa.RecordBatch], schema: str, user: str = "") -> DataFrame:
     """mapInArrow over `columns` and text; `step` gets the other columns' lists and the texts (null: empty)."""
 
     def run(batches):
-        for batch in small_batches(steady(batches)):
+        for batch in small_batches(steady(batches, user)):
             yield step([batch.column(i).to_pylist() for i in range(len(columns))], [t or "" for t in batch.column(len(columns)).to_pylist()])
 
     return docs.select(*columns, "text").mapInArrow(run, schema)

@@ -121,4 +121,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFram
         n = np.array(merge_table(vocabulary)(texts), np.int64)
         return pa.RecordBatch.from_pydict({"doc_id": pa.array(columns[0], pa.int64()), "n_bytes": pa.array([len(t.encode("utf-8")) for t in texts], pa.int64()), "n_tokens": n, "over_limit": n > limit})
 
-    return shared.text_map(docs, ["doc_id"], step, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return shared.text_map(docs, ["doc_id"], step, "doc_id long, n_bytes long, n_tokens long, over_limit boolean", "token_counts")
+
+
+shared.CACHES["token_counts"] = _TABLES.clear

@@ -74,7 +74,7 @@ def write(docs: DataFrame, vocabulary: str, end_id: int = 2, shards: int | None
 
     def encoded(batches):
         encode, edges = encoder(vocabulary), np.array(bounds, np.int64)
-        for batch in shared.small_batches(shared.steady(batches)):
+        for batch in shared.small_batches(shared.steady(batches, "tokens")):
             end = np.array([end_id], encode.dtype).tobytes()
             ids = [x + end for x in encode([t or "" for t in batch.column(1).to_pylist()])]
             low = batch.column(0).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)

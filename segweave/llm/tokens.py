@@ -15,6 +15,8 @@ from collections import Counter
 
 import numpy as np
 
+from . import shared
+
 #: Distinct pieces that a Python worker keeps before it starts anew.
 CACHE_PIECES = 1_600_000
 #: Frequent pieces kept apart, and the pieces after which they are chosen.
@@ -132,3 +134,6 @@ def encoder(path: str) -> PieceEncoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = PieceEncoder(path)
     return _ENCODERS[path]
+
+
+shared.CACHES["tokens"] = _ENCODERS.clear
