@@ -18,7 +18,7 @@ import numpy as np
 from . import shared
 
 #: Distinct pieces that a Python worker keeps before it starts anew.
-CACHE_PIECES = 1_600_000
+CACHE_PIECES = 900_000
 #: Frequent pieces kept apart, and the pieces after which they are chosen.
 HOT_PIECES, HOT_AFTER = 30_000, 1_000_000
 #: White space but space and line feed, a fixed Unicode list.
