@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
-from .tokens import encoder
+from .tokens import BATCH_BYTES, encoder
 
 DIMENSIONS, BITS, HASHED = 4, 12, 256
 TIE_BITS = 15
@@ -112,8 +112,8 @@ def packed(docs: DataFrame, vocabulary: str, length: int = 1024, end_id: int = 0
     def encoded(batches):
         encode = encoder(vocabulary)
         end = np.array([end_id], encode.dtype).tobytes()
-        for batch in shared.small_batches(shared.steady(batches, "tokens")):
-            ids = [x + end for x in encode([t or "" for t in batch.column(1).to_pylist()])]
+        for batch in shared.small_batches(shared.steady(batches, "tokens"), limit=BATCH_BYTES):
+            ids = [x + end for x in encode(batch.column(1))]
             tokens = [np.frombuffer(x, encode.dtype) for x in ids]
             ties = np.array([zlib.crc32(str(d).encode()) >> (32 - TIE_BITS) for d in batch.column(0).to_pylist()], np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(curve_keys(tokens) << TIE_BITS | ties), pa.array([len(t) for t in tokens], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "place", "n", "ids"])

@@ -18,10 +18,12 @@ import json
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import shared
-from .tokens import CACHE_PIECES, Memo
+from .tokens import BATCH_BYTES, CACHE_PIECES, Memo
 
 #: The split of byte-level pre-tokenizers, a fixed public pattern.
 PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -101,8 +103,9 @@ class MergeTable:
         for piece, m, words in zip(fresh, marks, cut, strict=True):
             known[piece] = m + sum(map(self.words.__getitem__, words))
 
-    def __call__(self, texts: list[str]) -> list[int]:
-        return [first + sum(rest) for first, rest in self.memo(texts)]
+    def __call__(self, texts: list[str] | pa.Array) -> list[int]:
+        found, place, bounds = self.memo(texts)
+        return np.add.reduceat(np.array(found, np.int64)[place], bounds[:-1]).tolist() if len(place) else []
 
 
 _TABLES: dict[str, MergeTable] = {}
@@ -117,11 +120,13 @@ def merge_table(path: str) -> MergeTable:
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (n_tokens > limit) of each row; no shuffle."""
 
-    def step(columns, texts):
-        n = np.array(merge_table(vocabulary)(texts), np.int64)
-        return pa.RecordBatch.from_pydict({"doc_id": pa.array(columns[0], pa.int64()), "n_bytes": pa.array([len(t.encode("utf-8")) for t in texts], pa.int64()), "n_tokens": n, "over_limit": n > limit})
+    def run(batches):
+        for batch in shared.small_batches(shared.steady(batches, "token_counts"), limit=BATCH_BYTES):
+            n = np.array(merge_table(vocabulary)(batch.column(1)), np.int64)
+            size = pc.cast(pc.fill_null(pc.binary_length(batch.column(1)), 0), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), size, pa.array(n), pa.array(n > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return shared.text_map(docs, ["doc_id"], step, "doc_id long, n_bytes long, n_tokens long, over_limit boolean", "token_counts")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 shared.CACHES["token_counts"] = _TABLES.clear

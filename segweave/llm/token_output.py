@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from . import shared
-from .tokens import encoder
+from .tokens import BATCH_BYTES, encoder
 
 #: Added to the rotated checksum.
 MASK_DELTA = 0xA282EAD8
@@ -74,9 +74,9 @@ def write(docs: DataFrame, vocabulary: str, end_id: int = 2, shards: int | None
 
     def encoded(batches):
         encode, edges = encoder(vocabulary), np.array(bounds, np.int64)
-        for batch in shared.small_batches(shared.steady(batches, "tokens")):
+        for batch in shared.small_batches(shared.steady(batches, "tokens"), limit=BATCH_BYTES):
             end = np.array([end_id], encode.dtype).tobytes()
-            ids = [x + end for x in encode([t or "" for t in batch.column(1).to_pylist()])]
+            ids = [x + end for x in encode(batch.column(1))]
             low = batch.column(0).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(edges, low, "right"), pa.int32()), batch.column(0), pa.array(ids, pa.binary()), pa.array([encode.dtype.itemsize] * len(ids), pa.int32())], ["shard", "doc_id", "ids", "width"])
 

@@ -2,41 +2,51 @@
 
 The pre-tokenizer of byte-level BPE never joins what stands left and right of a
 single space between two characters that are not white space, so a text may be
-encoded piece by piece, cut in front of each such space. Pieces repeat, so each
-distinct piece is encoded by the library once for a cache fill.
+encoded piece by piece, cut in front of each such space. Arrow cuts a batch of
+texts and numbers its distinct pieces; those that no earlier batch had are
+encoded by the library, and the texts are put together by these numbers.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from array import array
-from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from . import shared
 
-#: Distinct pieces that a Python worker keeps before it starts anew.
+#: Distinct pieces that a Python worker keeps, in two generations.
 CACHE_PIECES = 900_000
-#: Frequent pieces kept apart, and the pieces after which they are chosen.
-HOT_PIECES, HOT_AFTER = 30_000, 1_000_000
+#: Bytes of text that are cut and looked up at once.
+BATCH_BYTES = 8 << 20
 #: White space but space and line feed, a fixed Unicode list.
-_OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_OTHER_SPACE = "[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: Marks that may be encoded apart from the letter before them.
 MARKS = ".,!?;:#*$%&"
+#: Texts with white space that touches white space, other white space, or a line feed at their end.
+_UNEVEN = f"  |\n | \n|\n\n|{_OTHER_SPACE}|\n\\z"
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut in front of safe spaces; each piece but the first has lost its space.
+def pieces(texts: pa.Array) -> pa.ListArray:
+    """Each text cut in front of safe spaces; each piece but the first has lost its space.
 
     Where white space never touches other white space, a line feed is a
     pre-token of its own and is cut as well; such a piece begins with it.
     """
-    if "  " in text or "\n " in text or " \n" in text or "\n\n" in text or _OTHER_SPACE.search(text):
-        return _SAFE_CUT.split(text)
-    return text.replace("\n", " \n").split(" ") if text[-1:] != "\n" else _SAFE_CUT.split(text)
+    uneven = pc.match_substring_regex(texts, _UNEVEN)
+    even = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(uneven)), "\n", " \n"), " ")
+    if not pc.any(uneven).as_py():
+        return even
+    others = pa.array([_SAFE_CUT.split(t) for t in texts.filter(uneven).to_pylist()], even.type)
+    flags = uneven.to_numpy(zero_copy_only=False)
+    place = np.where(flags, len(even) + np.cumsum(flags) - 1, np.cumsum(~flags) - 1)
+    return pa.concat_arrays([even, others]).take(pa.array(place))
 
 
 def spaced(piece: str) -> str:
@@ -44,42 +54,53 @@ def spaced(piece: str) -> str:
     return piece if piece[:1] == "\n" else " " + piece
 
 
-class Memo:
-    """What `fill` finds for each piece, kept by piece; texts are looked up piece by piece.
+class Generations:
+    """What `fill` finds for each key; a generation that is full becomes the old one, and what it held is kept only if it is asked for again."""
+
+    def __init__(self, fill, most: int):
+        self.fill, self.most, self.young, self.old = fill, most, {}, {}
+
+    def __call__(self, keys: list[str], text) -> list:
+        """What was found for distinct keys; text(key) is what `fill` gets for a new key."""
+        if len(self.young) > self.most // 2:
+            self.young, self.old = {}, self.young
+        found = [*map(self.young.get, keys)]
+        lacking = [k for k, f in zip(keys, found, strict=True) if f is None]
+        if not lacking:
+            return found
+        fresh = []
+        for k in lacking:
+            f = self.old.get(k)
+            if f is None:
+                fresh.append(k)
+            else:
+                self.young[k] = f
+        self.fill(self.young, fresh, [*map(text, fresh)])
+        return [*map(self.young.__getitem__, keys)]
 
-    Pieces that are frequent in the first texts lie in a small dictionary that
-    stays in the processor's caches; it is asked first and never cleared.
-    """
+
+class Memo:
+    """What `fill` finds for the pieces of texts, kept by piece."""
 
     def __init__(self, fill):
-        self.fill, self.first, self.later, self.hot, self.seen = fill, {}, {}, {}, Counter()
-
-    def __call__(self, texts: list[str]) -> list[tuple]:
-        """For each text, what was found for its first piece and the list for its others."""
-        cut = [pieces(t) for t in texts]
-        if len(self.later) > CACHE_PIECES:
-            self.first, self.later = {}, {}
-        fresh = list({c[0] for c in cut}.difference(self.first))
-        self.fill(self.first, fresh, fresh)
-        heads = [self.first[c.pop(0)] for c in cut]
-        found = [[*map(self.hot.get, c)] for c in cut]
-        gaps = [[i for i, g in enumerate(got) if g is None] for got in found]
-        rest = [[c[i] for i in at] for c, at in zip(cut, gaps, strict=True)]
-        known = [[*map(self.later.get, r)] for r in rest]
-        lacking = list({p for r, k in zip(rest, known, strict=True) if None in k for p, g in zip(r, k, strict=True) if g is None})
-        if lacking:
-            self.fill(self.later, lacking, [spaced(p) for p in lacking])
-            known = [[*map(self.later.__getitem__, r)] if None in k else k for r, k in zip(rest, known, strict=True)]
-        for got, at, k in zip(found, gaps, known, strict=True):
-            for i, v in zip(at, k, strict=True):
-                got[i] = v
-        if not self.hot:
-            for r in rest:
-                self.seen.update(r)
-            if self.seen.total() > HOT_AFTER:
-                self.hot = {p: self.later[p] for p, n in self.seen.most_common(HOT_PIECES) if n > 2 and p in self.later}
-                self.seen.clear()
-        return list(zip(heads, found, strict=True))
+        self.first, self.later = Generations(fill, CACHE_PIECES // 8), Generations(fill, CACHE_PIECES)
+
+    def __call__(self, texts: list[str] | pa.Array) -> tuple[list, np.ndarray, np.ndarray]:
+        """What was found for distinct pieces, each piece's place in that list, and where each text's pieces begin (and the last one's end)."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        cut = pieces(texts)
+        bounds = np.r_[0, np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False), dtype=np.int64)]
+        flat = cut.flatten()
+        coded = flat.dictionary_encode()
+        place = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        heads = flat.take(pa.array(bounds[:-1])).dictionary_encode()
+        place[bounds[:-1]] = -1
+        # pieces that only begin texts aren't looked up among the others
+        used = np.bincount(place[place >= 0], minlength=len(coded.dictionary)) > 0
+        found = self.later(coded.dictionary.filter(pa.array(used)).to_pylist(), spaced)
+        place = np.where(place >= 0, (np.cumsum(used) - 1)[place] if len(used) else -1, -1)
+        place[bounds[:-1]] = len(found) + heads.indices.to_numpy(zero_copy_only=False)
+        return found + self.first(heads.dictionary.to_pylist(), str), place, bounds
 
 
 class PieceEncoder:
@@ -122,8 +143,13 @@ class PieceEncoder:
         for piece, stem, mark in ends:
             known[piece] = wanted[stem] + marks[mark]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        return [first + b"".join(rest) for first, rest in self.memo(texts)]
+    def __call__(self, texts: list[str] | pa.Array) -> list[bytes]:
+        found, place, bounds = self.memo(texts)
+        joined = pa.array(found, pa.binary()).take(pa.array(place))
+        _, ends, data = joined.buffers()
+        data = memoryview(data) if data else b""
+        at = np.frombuffer(ends, np.int32)[bounds].tolist() if len(place) else [0]
+        return [bytes(data[lo:hi]) for lo, hi in itertools.pairwise(at)]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
