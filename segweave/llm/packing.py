@@ -8,8 +8,8 @@ whole stream remains; it is cut at the powers of two that make it up, so no
 sequence is padded.
 
 Tokens are encoded once and staged; bounds of the ranges come from the staged
-keys, the number of tokens in each range from a light pass, and then each
-range knows where it begins in the stream. Equal documents have equal places;
+keys, weighed by their documents' tokens, the number of tokens in each range
+from a light pass, and then each range knows where it begins in the stream. Equal documents have equal places;
 a hash of doc_id in the low bits of the key spreads them, so a group of copies
 of any size is split between ranges.
 
@@ -32,6 +32,8 @@ from .tokens import BATCH_BYTES, encoder
 
 DIMENSIONS, BITS, HASHED = 4, 12, 256
 TIE_BITS = 15
+#: Tokens that weigh as much as a document itself when ranges are balanced.
+WEIGHT = 512
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -119,7 +121,8 @@ def packed(docs: DataFrame, vocabulary: str, length: int = 1024, end_id: int = 0
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(curve_keys(tokens) << TIE_BITS | ties), pa.array([len(t) for t in tokens], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "place", "n", "ids"])
 
     rows = shared.staged(docs.select("doc_id", "text").mapInArrow(encoded, "doc_id long, place long, n long, ids binary"), "packing-tokens")
-    bounds = shared.spread(rows.select("place"), "place", shared.partitions(spark))
+    weighed = rows.select(F.explode(F.expr(f"array_repeat(place, int(n div {WEIGHT}) + 1)")).alias("place"))
+    bounds = shared.spread(weighed, "place", shared.partitions(spark))
 
     def ranged(batches):
         edges = np.array(bounds, np.int64)
