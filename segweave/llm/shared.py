@@ -65,21 +65,42 @@ def partitions(spark: SparkSession) -> int:
 CACHES: dict[str, Callable[[], None]] = {}
 
 
+def give_back() -> None:
+    """Return memory that this worker has freed to the machine: the next task may run in another process."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim is not None:
+        trim(0)
+
+
+#: Whose caches this Python worker holds.
+_HELD = [""]
+
+
 def steady(batches: Iterator, user: str = "") -> Iterator:
     """The batches, with the cycle collector at rest: it would walk the workers' large caches again and again.
 
-    Workers serve one operator after another; caches of others than `user` are emptied first.
+    Workers serve one operator after another; when the user changes, the caches
+    of others are emptied and their memory is given back.
     """
     import gc
 
-    for name, clear in CACHES.items():
-        if name != user:
-            clear()
+    if user != _HELD[0]:
+        for name, clear in CACHES.items():
+            if name != user:
+                clear()
+        give_back()
+        _HELD[0] = user
     gc.disable()
     try:
         yield from batches
     finally:
         gc.enable()
+        give_back()
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:

@@ -21,9 +21,9 @@ import pyarrow.compute as pc
 from . import shared
 
 #: Distinct pieces that a Python worker keeps, in two generations.
-CACHE_PIECES = 900_000
+CACHE_PIECES = 800_000
 #: Bytes of text that are cut and looked up at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: White space but space and line feed, a fixed Unicode list.
 _OTHER_SPACE = "[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: Marks that may be encoded apart from the letter before them.
