@@ -155,3 +155,30 @@ def test_alignment_pieces():
     assert (got["ref_start"], got["ref_end"]) == (2500, 2508)
     twice = alignment.align_document(ref, [" ".join(ref[:8]), " ".join(ref[:8]), " ".join(ref[8:16])])
     assert twice[0]["ok"] and twice[2]["ref_start"] in (7, 8)
+
+
+@pytest.mark.parametrize("tokens", [1, 2])
+def test_glued_words_get_their_whole_span(tokens):
+    ref, _, _ = case(5, 220)
+    size = 20 // tokens
+    glued = " ".join("".join(ref[a : a + size]) for a in range(100, 120, size))
+    got = alignment.align_document(ref, [" ".join(ref[:100]), ref[100] + " " + glued, " ".join(ref[120:])])[1]
+    assert (got["ref_start"], got["ref_end"], got["ok"]) == (100, 120, True) and got["distance"] < 0.4
+
+
+def test_extension_tries_what_the_plain_loops_try():
+    r = random.Random(6)
+    for seed in range(40):
+        ref, _, _ = case(seed, 300)
+        a = r.randrange(100, 150)
+        b = a + r.randrange(1, 6)
+        said = r.choice(["", " "]).join(ref[a - r.randrange(12) : b + r.randrange(60)])
+        best = d = alignment.distance(said, " ".join(ref[a:b]))
+        start, end = a, b
+        for e in range(b + 1, min(len(ref), a + 80) + 1):
+            if (v := alignment.distance(said, " ".join(ref[a:e]))) < best:
+                best, end = v, e
+        for s in range(a - 1, max(0, end - 80) - 1, -1):
+            if (v := alignment.distance(said, " ".join(ref[s:end]))) < best:
+                best, start = v, s
+        assert alignment._extended(ref, said, a, b, d, alignment.Config()) == (pytest.approx(best), start, end)
