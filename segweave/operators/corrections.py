@@ -31,7 +31,8 @@ def decided(segments: DataFrame, corrections: DataFrame, strict_drift: bool = Fa
     parts = wanted.join(segments.select("segment_id", "source_id", "start_seconds", "end_seconds", "is_last_of_source"), "segment_id").groupBy("survivor")
     parts = parts.agg(F.count(F.lit(1)).alias("found"), F.min("start_seconds").alias("low"), F.max("end_seconds").alias("high"), F.bool_or("is_last_of_source").alias("any_last"), F.min("source_id").alias("s0"), F.max("source_id").alias("s1"))
     r = segments.join(latest, "segment_id", "left").join(_absorbed(latest).withColumn("absorbed", F.lit(True)), "segment_id", "left").join(parts.withColumnRenamed("survivor", "segment_id"), "segment_id", "left")
-    drifted = F.coalesce(F.abs(F.col("orig_start") - F.col("start_seconds")) > DRIFT, F.lit(False))
+    moved = lambda a, b: F.coalesce(F.abs(F.col(a) - F.col(b)) > DRIFT, F.lit(False))
+    drifted = moved("orig_start", "start_seconds") | moved("orig_end", "end_seconds")
     cuts = F.array_sort(F.filter("at_seconds", lambda t: (t > F.col("start_seconds")) & (t < F.col("end_seconds"))))
     foreign = F.coalesce((F.col("s0") != F.col("source_id")) | (F.col("s1") != F.col("source_id")), F.lit(False))
     r = r.withColumn("drifted", drifted).withColumn("cuts", cuts)

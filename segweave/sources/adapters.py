@@ -73,7 +73,9 @@ def corrections(segs: DataFrame) -> DataFrame:
         F.when(k.isin(1, 7), F.col("end_seconds")).when(k == 6, F.col("start_seconds")).alias("new_end"),
         F.when(k == 3, F.array(F.col("start_seconds") + 0.25, F.col("start_seconds") + 0.125, F.lit(-1.0))).otherwise(none).alias("at_seconds"),
         F.when(k == 4, F.array(F.format_string("%s__%04d", F.regexp_extract("segment_id", "^(.*)__[0-9]+$", 1), F.col("index") + 1))).otherwise(F.array().cast("array<string>")).alias("with_ids"),
-        F.when(k == 1, F.col("start_seconds") + F.when(F.col("event_id") % 100 == 1, 99.0).otherwise(0.0)).alias("orig_start"),
+        # of the drifted ones, half moved at their start, half at their end alone
+        F.when(k == 1, F.col("start_seconds") + F.when(F.col("event_id") % 200 == 1, 99.0).otherwise(0.0)).alias("orig_start"),
+        F.when(k == 1, F.col("end_seconds") + F.when(F.col("event_id") % 200 == 101, 99.0).otherwise(0.0)).alias("orig_end"),
         F.col("ord").alias("c_ord"),
     )
 

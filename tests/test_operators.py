@@ -94,6 +94,13 @@ def test_corrections(spark, tmp_path):
     assert "s6" in {r.segment_id for r in patch.apply(segs(spark), c, strict_drift=True).collect()}
 
 
+def test_drift_at_either_bound(spark, tmp_path):
+    drop = lambda k, **orig: {"segment_id": f"s{k}", "action": "drop", **{f"orig_{b}_seconds": v for b, v in orig.items()}}
+    c = fixes(spark, tmp_path, drop(0, end=9.0), drop(1, start=10.0, end=18.04), drop(2, start=20.0, end=27.9), drop(3, start=30.06), drop(4, end=48.0), drop(5))
+    assert {tuple(r) for r in patch.exceptions(segs(spark), c).collect()} == {(s, "drifted") for s in ("s0", "s2", "s3")}
+    assert {r.segment_id for r in patch.apply(segs(spark), c, strict_drift=True).collect()} == {"s0", "s2", "s3", "s6"}
+
+
 def test_malformed_corrections_raise_and_torn_manifest_lines_dont(spark, tmp_path):
     (tmp_path / "bad.jsonl").write_text('{"segment_id": "a"}\n{"segm')
     with pytest.raises(Exception, match="(?i)malformed|parse"):
