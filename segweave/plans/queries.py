@@ -269,6 +269,12 @@ def blob_lookup(spark, d):
     return io.clips(_shards(spark, d), wanted).select("segment_id", "source_id", F.md5("bytes").alias("digest"))
 
 
+@query()
+def all_blob_lookup(spark, d):
+    """blob_lookup of all clips; its SQL has every 29th."""
+    return io.clips(_shards(spark, d), adapters.timed_segments(spark, d)).select("segment_id", "source_id", F.md5("bytes").alias("digest"))
+
+
 @query(f"WITH {PROBES} SELECT reciter_slug, count(*) AS files, round(sum(size_bytes) / 1e9, 6) AS gigabytes FROM probes GROUP BY ROLLUP (reciter_slug)")
 def pull_summary(spark, d):
     return io.pulled(adapters.probes(spark, d))
@@ -422,14 +428,30 @@ HYP = "hyp AS (SELECT doc_id, pos, CASE WHEN (doc_id * 31 + pos * 17) % 7 = 0 TH
 
 @query(f"WITH {REF_WORDS} SELECT doc_id, pos, word, raw_word, verse FROM ref_words")
 def ref_words(spark, d):
+    return adapters.ref_words(spark, d, adapters.ASCII_ENGLISH)
+
+
+@query()
+def all_ref_words(spark, d):
+    """ref_words of all documents with text; its SQL, as that of the queries on it, has the English ASCII ones."""
     return adapters.ref_words(spark, d)
 
 
 @query(f"""WITH {REF_WORDS}, s AS (SELECT doc_id, pos // 8 AS segment, verse, pos, raw_word, lag(verse) OVER (PARTITION BY doc_id, pos // 8 ORDER BY pos) AS v0 FROM ref_words)
 SELECT doc_id, segment, string_agg(raw_word, ' ' ORDER BY pos) AS label, string_agg(verse::VARCHAR, ' ' ORDER BY pos) FILTER (v0 IS NULL OR v0 <> verse) AS verses FROM s GROUP BY ALL""")
 def verses_spanned(spark, d):
+    return _verses(adapters.ref_words(spark, d, adapters.ASCII_ENGLISH))
+
+
+@query()
+def all_verses_spanned(spark, d):
+    """verses_spanned of all documents with text."""
+    return _verses(adapters.ref_words(spark, d))
+
+
+def _verses(ref):
     w = F.array_sort(F.collect_list(F.struct("pos", "raw_word", "verse")))
-    g = adapters.ref_words(spark, d).groupBy("doc_id", F.floor(F.col("pos") / 8).alias("segment")).agg(w.alias("w"))
+    g = ref.groupBy("doc_id", F.floor(F.col("pos") / 8).alias("segment")).agg(w.alias("w"))
     return g.select("doc_id", "segment", x.joined(F.col("w.raw_word"), F.lit(0), F.size("w")).alias("label"), F.array_join(x.runs(F.col("w.verse")), " ").alias("verses"))
 
 
@@ -447,6 +469,13 @@ b AS (SELECT doc_id, pos, word || ' ' || lead(word, 1) OVER v || ' ' || lead(wor
 ua AS (SELECT doc_id, g, min(pos) AS ref_pos FROM a WHERE g IS NOT NULL GROUP BY ALL HAVING count(*) = 1), ub AS (SELECT doc_id, g, min(pos) AS hyp_pos FROM b WHERE g IS NOT NULL GROUP BY ALL HAVING count(*) = 1)
 SELECT doc_id, ref_pos, hyp_pos FROM ua JOIN ub USING (doc_id, g)""")
 def ngram_anchors(spark, d):
+    ref = adapters.ref_words(spark, d, adapters.ASCII_ENGLISH)
+    return alignment.ngram_anchors(ref, _heard(ref))
+
+
+@query()
+def all_ngram_anchors(spark, d):
+    """ngram_anchors of all documents with text."""
     ref = adapters.ref_words(spark, d)
     return alignment.ngram_anchors(ref, _heard(ref))
 
@@ -454,7 +483,7 @@ def ngram_anchors(spark, d):
 @query()
 def lis_chain(spark, d):
     """Length of the longest rising chain of each document's anchors."""
-    a = ngram_anchors(spark, d)
+    a = all_ngram_anchors(spark, d)
 
     def chain(key, rows):
         import pandas as pd
@@ -479,7 +508,7 @@ def word_anchors(spark, d):
     """Rare long words and their nearest partner in the same gap (here: 32 words), clearly nearer than the next."""
     from pyspark.sql import Window
 
-    ref = adapters.ref_words(spark, d)
+    ref = adapters.ref_words(spark, d, adapters.ASCII_ENGLISH)
     key = F.col("doc_id") * 31 + F.col("pos") * 17
     hyp = ref.where(key % 23 != 0).select("doc_id", "pos", F.when(key % 7 == 0, F.concat(F.lit("x"), F.substring("word", 2, 1000))).otherwise(F.col("word")).alias("word"))
 
@@ -512,7 +541,7 @@ s AS (SELECT doc_id, segment, extra, levenshtein(said, body) / greatest(length(s
 SELECT doc_id, segment, arg_min(extra, (dist, extra)) AS extra, round(min(dist), 9) AS distance FROM s GROUP BY ALL""")
 def span_extension(spark, d):
     """For each segment the number of words, 0 to 4 past its fifth, that brings its span nearest to what was said."""
-    ref = adapters.ref_words(spark, d)
+    ref = adapters.ref_words(spark, d, adapters.ASCII_ENGLISH)
     words = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", c))), lambda s: s[c]), " ")
     key = F.col("doc_id") * 31 + F.col("pos") * 17
     heard = F.when(key % 23 == 0, F.lit(None)).when(key % 7 == 0, F.concat(F.lit("x"), F.substring("word", 2, 1000))).otherwise(F.col("word"))

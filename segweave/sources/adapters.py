@@ -80,10 +80,14 @@ def corrections(segs: DataFrame) -> DataFrame:
     )
 
 
-def ref_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The words of English ASCII documents by position, with the line as verse."""
-    d = table(spark, sf_dir, "documents").where("lang = 'en' AND text NOT RLIKE '[^\\\\x00-\\\\x7F]'")
+#: The documents that the SQL of ref_words and of the queries on it takes.
+ASCII_ENGLISH = "lang = 'en' AND text NOT RLIKE '[^\\\\x00-\\\\x7F]'"
+
+
+def ref_words(spark: SparkSession, sf_dir: str, which: str = "doc_id IS NOT NULL AND text IS NOT NULL") -> DataFrame:
+    """The words of the documents by position, with the line as verse; a word keeps its letters and digits of any script."""
+    d = table(spark, sf_dir, "documents").where(which)
     lines = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "body"))
     words = lines.select("doc_id", "line", F.posexplode(F.filter(F.split("body", r"\s+"), lambda w: w != "")).alias("k", "raw_word"))
     order = Window.partitionBy("doc_id").orderBy("line", "k")
-    return words.select("doc_id", (F.row_number().over(order) - 1).alias("pos"), F.regexp_replace(F.lower("raw_word"), "[^a-z0-9]", "").alias("word"), "raw_word", F.col("line").alias("verse"))
+    return words.select("doc_id", (F.row_number().over(order) - 1).alias("pos"), F.regexp_replace(F.lower("raw_word"), r"[^\p{L}\p{M}\p{N}]", "").alias("word"), "raw_word", F.col("line").alias("verse"))
