@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as x
@@ -522,6 +522,13 @@ def word_anchors(spark, d):
     return k.where("n = 1 AND dist <= 0.34 AND (second IS NULL OR second - dist >= 0.15)").select("doc_id", "ref_pos", "hyp_pos", F.round("dist", 9).alias("distance"))
 
 
+@query()
+def all_word_anchors(spark, d):
+    """Word anchors of all documents with text, in the gaps that their chained n-grams leave (the SQL of word_anchors has fixed blocks of 32 words)."""
+    ref = adapters.ref_words(spark, d)
+    return alignment.word_anchors_in_gaps(ref, _heard(ref))
+
+
 @query("""WITH o AS (SELECT l_orderkey, list(l_partkey % 200) AS hits, 3 AS n FROM lineitem GROUP BY 1),
 t AS (SELECT l_orderkey, CASE WHEN len(hits) < 2 THEN hits ELSE list_filter(hits, lambda h: abs(h - list_sort(hits)[len(hits) // 2 + 1]) <= greatest(3 * n, n + 10)) END AS hits FROM o),
 s AS (SELECT l_orderkey, list_sort(hits) AS s FROM t),
@@ -552,6 +559,16 @@ def span_extension(spark, d):
     return rows.select("doc_id", "segment", best.alias("b")).select("doc_id", "segment", "b.extra", F.round("b.dist", 9).alias("distance"))
 
 
+@query()
+def all_span_extension(spark, d):
+    """Each eight words' first five, moved outward to what was said: ends, then starts, up to 80 words (the SQL of span_extension tries five ends)."""
+    ref = adapters.ref_words(spark, d).where("word <> ''")
+    ref = ref.select("doc_id", (F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")) - 1).alias("pos"), "word")
+    said = alignment.simulated(ref).where("transcript <> ''")
+    spans = said.select("doc_id", "index", F.col("transcript").alias("said"), F.col("true_start").alias("ref_start"), F.least("true_end", F.col("true_start") + 5).alias("ref_end"))
+    return alignment.extended_spans(ref, spans)
+
+
 def _cases(spark, d):
     """Reference words of all documents and the transcripts simulated from them."""
     docs = adapters.table(spark, d, "documents").where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", F.explode(F.array(F.lower("text"))).alias("t"))
