@@ -3,7 +3,9 @@
 A gear rolling hash over the last 16 bytes is looked at where a word ends; a
 chunk ends where it falls under a threshold, about every fourth word. A cut
 depends on nothing but those bytes, so text that is shifted by insertions is cut
-alike again after a few words. Chunks are known by their 64-bit digest; of
+alike again after a few words. Text of few distinct contexts may hold no such
+end, so a chunk of more than `MOST_WORDS` words is cut once more, where the hash
+is the least of that many word ends in a row. Chunks are known by their 64-bit digest; of
 the chunks that several documents hold, the document of the least id keeps
 its own, and a chunk that a document repeats stays where it stands first. A run of
 neighbouring duplicate chunks with `min_words` words or more is cut out of the
@@ -31,6 +33,8 @@ from pyspark.sql import functions as F
 from . import shared
 
 MEAN_WORDS, MIN_WORDS = 4, 25
+#: Words of a chunk beyond which it is cut at the least hashes.
+MOST_WORDS = 8
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -47,8 +51,8 @@ def gear_table() -> np.ndarray:
 GEAR = gear_table()
 
 
-def chunks(texts: list[bytes], mean_words: int = MEAN_WORDS) -> list[np.ndarray]:
-    """For each text its chunks as rows (start, end, words); white space before a chunk's first word belongs to no chunk."""
+def _word_ends(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Of each word of all texts: its first and last byte in the text, its text, the hash at its end."""
     pad = b"\0" * 16
     data = np.frombuffer(pad + pad.join(texts) + pad, np.uint8)
     h = GEAR[data]
@@ -58,20 +62,47 @@ def chunks(texts: list[bytes], mean_words: int = MEAN_WORDS) -> list[np.ndarray]
         h = h + shifted
     inside = ~_SPACE[data] & (data != 0)
     edge = np.flatnonzero(np.diff(inside.astype(np.int8)))
-    first, last = edge[::2] + 1, edge[1::2]  # of each word
+    first, last = edge[::2] + 1, edge[1::2]
     size = np.array([len(t) for t in texts], np.int64)
     base = 16 + np.r_[0, np.cumsum(size + 16)[:-1]].astype(np.int64)
     text = np.searchsorted(base, first, "right") - 1
-    ends = h[last] < (1 << 16) // mean_words
+    return first - base[text], last - base[text], text, h[last]
+
+
+def chunks(texts: list[bytes], mean_words: int = MEAN_WORDS, most: int | None = None) -> list[np.ndarray]:
+    """For each text its chunks as rows (start, end, words); white space before a chunk's first word belongs to no chunk.
+
+    With `most`, chunks of more words are cut again at the least hashes.
+    """
+    first, last, text, h = _word_ends(texts)
+    ends = h < (1 << 16) // mean_words
     if len(ends):
         ends[np.flatnonzero(np.diff(text))] = True
         ends[-1] = True
+    if most is not None:
+        ends |= _least_ends(h, np.flatnonzero(ends), most)
     stop = np.flatnonzero(ends)
     begin = np.r_[0, stop[:-1] + 1].astype(np.int64)[: len(stop)]
-    rows = np.stack([first[begin] - base[text[begin]], last[stop] + 1 - base[text[stop]], stop - begin + 1], 1) if len(stop) else np.zeros((0, 3), np.int64)
+    rows = np.stack([first[begin], last[stop] + 1, stop - begin + 1], 1) if len(stop) else np.zeros((0, 3), np.int64)
     return np.split(rows, np.searchsorted(text[stop], np.arange(1, len(texts)))) if texts else []
 
 
+def _least_ends(h: np.ndarray, stop: np.ndarray, most: int) -> np.ndarray:
+    """Word ends that are the least (of equals: the last) of some `most` ends in a row inside one chunk.
+
+    What is chosen depends on the hashes near it alone, and any `most` words in a row hold one.
+    """
+    chosen = np.zeros(len(h), bool)
+    begin = np.r_[0, stop[:-1] + 1].astype(np.int64)[: len(stop)]
+    long = stop - begin + 1 > most
+    size = (stop - begin - most + 1)[long]  # windows of each; the chunk's own end is in none
+    if len(size):
+        start = np.repeat(begin[long] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+        windows = np.lib.stride_tricks.sliding_window_view(h, most)[start]
+        chosen[start + most - 1 - windows[:, ::-1].argmin(1)] = True
+    return chosen
+
+
 def digests(text: bytes, rows: np.ndarray) -> list[int]:
     """Signed 64-bit digests of the chunks' words."""
     import xxhash
@@ -90,7 +121,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
     def step(columns, texts):
         raw = [_bytes(t) for t in texts]
-        found = [list(set(digests(t, rows))) for t, rows in zip(raw, chunks(raw), strict=True)]
+        found = [list(set(digests(t, rows))) for t, rows in zip(raw, chunks(raw, most=MOST_WORDS), strict=True)]
         ids = np.repeat(np.array(columns[0], np.int64), [len(f) for f in found])
         return pa.RecordBatch.from_pydict({"digest": pa.array([d for f in found for d in f], pa.int64()), "doc_id": ids})
 
@@ -143,7 +174,7 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         for batch in shared.small_batches(shared.steady(batches)):
             texts, marked, ids = batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), batch.column(names.index("doc_id")).to_pylist()
             raw = [_bytes(t) for t in texts]
-            cuts = [spans(t, rows, set(m or ()), min_words) if i is not None else [] for t, rows, m, i in zip(raw, chunks(raw), marked, ids, strict=True)]
+            cuts = [spans(t, rows, set(m or ()), min_words) if i is not None else [] for t, rows, m, i in zip(raw, chunks(raw, most=MOST_WORDS), marked, ids, strict=True)]
             kept = [t if not c else without(t.encode(), c).decode() for t, c in zip(texts, cuts, strict=True)]
             columns = list(batch.columns[: len(names)])
             columns[at] = pa.array(kept, pa.string())

@@ -157,6 +157,42 @@ def test_chunks_match_a_plain_loop():
         assert rows.tolist() == want
 
 
+def test_passages_without_a_cut_go_too(docs):
+    r = random.Random(12)
+    rows, want = [], []
+    while len(want) < 20:
+        line = passage(r, r.randrange(1, 10))
+        p = " ".join([line] * 80)
+        if len(substring_dedup.chunks([p.encode()])[0]) > 2:
+            continue
+        p = " ".join(p.split()[:80])
+        want.append(p)
+        rows += [(10 * len(want) + k, f"{passage(r, 40)} {p} {passage(r, 40)}") for k in range(2)]
+    got = {x.doc_id: x for x in substring_dedup.deduplicated(docs(rows)).collect()}
+    texts = dict(rows)
+    for k in range(1, 21):
+        cut = sum(len(texts[10 * k + 1].encode()[s.start : s.end].split()) for s in got[10 * k + 1].cut_spans)
+        assert 55 <= cut <= 80
+
+
+def test_least_ends_match_a_plain_loop():
+    r = random.Random(10)
+    raw = [" ".join(r.choice(v) for _ in range(r.randrange(200))).encode() for v in (["a"], ["a", "b"], ["ab", "é", "xyz"], [f"w{i}" for i in range(300)]) for _ in range(6)]
+    cut = 0
+    for text, plain, rows in zip(raw, substring_dedup.chunks(raw), substring_dedup.chunks(raw, most=8), strict=True):
+        found = [m.end() for m in re.finditer(rb"[^\x20\x09-\x0D]+", text)]
+        h = [sum(int(substring_dedup.GEAR[c]) << d for d, c in enumerate(text[max(0, b - 16) : b][::-1])) & 0xFFFF for b in found]
+        want, at = [], 0
+        for _, b, n in plain.tolist():
+            stop = found.index(b)
+            ends = {stop} | {min(range(i, i + 8), key=lambda k: (h[k], -k)) for i in range(at, stop - 7)}
+            want += [found[k] for k in sorted(ends)]
+            cut += n > 8
+            at = stop + 1
+        assert rows[:, 1].tolist() == want and rows[:, 2].sum() == len(found) and (rows[:, 2] <= 16).all()
+    assert cut > 5
+
+
 def test_substring_edges(docs, nasty):
     got = substring_dedup.deduplicated(nasty).collect()
     by = {}
