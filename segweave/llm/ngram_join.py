@@ -128,18 +128,21 @@ def buckets(classes: DataFrame, first: int, stop: int) -> DataFrame:
             rep, n = rep[order], n[order]
             cut = blocks(n)
             name = xxhash.xxh3_128_digest(rep.astype("<i8").tobytes())
+            if len(cut) == 1:
+                out.append((name, rep))
+                return
+            alone = set(range(len(cut)))
             for i, (a, b) in enumerate(cut):
-                for j in range(i, len(cut)):
+                for j in range(i + 1, len(cut)):
                     c, d = cut[j]
-                    if (i == j and len(cut) > 1) or 4 * n[b - 1] < 3 * n[c]:
+                    if 4 * n[b - 1] < 3 * n[c]:
                         continue
-                    if len(cut) > 1:
-                        members = np.r_[rep[a:b], rep[c:d]]
-                        out.append((xxhash.xxh3_128_digest(name + bytes(f"{i} {j}", "ascii")), members))
-                    else:
-                        out.append((name, rep))
-            if len(cut) > 1 and all(4 * n[cut[0][1] - 1] < 3 * n[c] for c, _ in cut[1:]):
-                out.append((name, rep[: cut[0][1]]))
+                    out.append((xxhash.xxh3_128_digest(name + bytes(f"{i} {j}", "ascii")), np.r_[rep[a:b], rep[c:d]]))
+                    alone -= {i, j}
+            for i in sorted(alone):  # a pair of blocks holds the links inside either; these are in none
+                a, b = cut[i]
+                if b - a > 1:
+                    out.append((xxhash.xxh3_128_digest(name + bytes(f"{i} {i}", "ascii")), rep[a:b]))
 
         held = [np.zeros(0, np.int64)] * 4
         for batch in batches:

@@ -79,6 +79,18 @@ def test_blocks_of_large_buckets_lose_no_link(docs, monkeypatch):
     assert {r.component_id for r in ngram_join.jaccard_classes(docs(rows)).collect()} == {0}
 
 
+def test_a_block_without_a_neighbour_is_compared_with_itself(spark):
+    n = [k * ngram_join.BLOCK_SHINGLES // 600 for k in (200, 200, 200, 300, 300, 500, 800, 800)]
+    assert ngram_join.blocks(np.array(n)) == [(0, 3), (3, 5), (5, 7), (7, 8)]
+    bands = bytearray(np.arange(ngram_join.BANDS).astype("<i8").tobytes())  # all in one bucket
+    classes = spark.createDataFrame([(i, k, i, bands) for i, k in enumerate(n)], "rep long, n long, component long, bands binary")
+    got = {}
+    for r in ngram_join.buckets(classes, 0, 1).collect():
+        got.setdefault(bytes(r.bucket), set()).add(r.rep)
+    together = {(i, j) for g in got.values() for i in g for j in g if i < j}
+    assert together >= {(i, j) for i in range(8) for j in range(i + 1, 8) if 4 * n[i] >= 3 * n[j]}
+
+
 def test_tree_finds_the_links_of_all_pairs():
     r = np.random.default_rng(2)
     for _ in range(5):
