@@ -6,7 +6,9 @@ target / source size times: the whole part is certain, whole copies; for the
 fraction f a sample of fixed size (f of the source's words) is drawn with
 Pareto order sampling: documents rank by the odds of a uniform number over the
 odds of f, the lowest first, and enter until the words are reached. The
-uniform number is a hash of doc_id, so reruns agree.
+uniform number is a hash of doc_id, so reruns agree. As f is the same for all
+documents of a source, their Pareto order is the order of the uniform numbers,
+by which the sample is cut: it is a uniform one of each source.
 
 No source is ever sorted as a whole: a histogram of the ranks finds the bin in
 which a source's last sampled document lies, and only that bin is ordered.
