@@ -10,6 +10,7 @@ encoded by the library, and the texts are put together by these numbers.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import re
 from array import array
@@ -31,6 +32,21 @@ MARKS = ".,!?;:#*$%&"
 #: Texts with white space that touches white space, other white space, or a line feed at their end.
 _UNEVEN = f"  |\n | \n|\n\n|{_OTHER_SPACE}|\n\\z"
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
+_ANY_OTHER_SPACE = re.compile(_OTHER_SPACE)
+#: Pieces that the library encodes as one text.
+JOINED = 256
+#: What stands for space and line feed in byte-level vocabularies, fixed public values.
+SPACE_SYMBOLS = ("\u0120", "\u010a")
+
+
+def check_byte_level(spec: dict) -> None:
+    """Raise ValueError unless the vocabulary file is one that texts may be cut for: byte-level BPE, no normalizer, no changes to what is encoded."""
+    pre, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and spec.get("normalizer") is None
+    whole = model.get("type", "BPE") == "BPE" and not model.get("dropout") and not model.get("ignore_merges") and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
+    added = all(not t.get(k) for t in spec.get("added_tokens", []) for k in ("lstrip", "rstrip", "single_word")) and not any(c.isspace() for t in spec.get("added_tokens", []) for c in t["content"])
+    if not (plain and whole and added and not spec.get("truncation") and not spec.get("padding")):
+        raise ValueError("not a vocabulary of plain byte-level BPE: texts can't be encoded piece by piece")
 
 
 def pieces(texts: pa.Array) -> pa.ListArray:
@@ -49,9 +65,9 @@ def pieces(texts: pa.Array) -> pa.ListArray:
     return pa.concat_arrays([even, others]).take(pa.array(place))
 
 
-def spaced(piece: str) -> str:
-    """What stands in the text for a piece that isn't the first."""
-    return piece if piece[:1] == "\n" else " " + piece
+def spaced(pieces: list[str]) -> list[str]:
+    """What stands in the text for pieces that aren't the first."""
+    return [p if p[:1] == "\n" else " " + p for p in pieces]
 
 
 class Generations:
@@ -61,7 +77,7 @@ class Generations:
         self.fill, self.most, self.young, self.old = fill, most, {}, {}
 
     def __call__(self, keys: list[str], text) -> list:
-        """What was found for distinct keys; text(key) is what `fill` gets for a new key."""
+        """What was found for distinct keys; text(keys) is what `fill` gets for new keys."""
         if len(self.young) > self.most // 2:
             self.young, self.old = {}, self.young
         found = [*map(self.young.get, keys)]
@@ -75,7 +91,7 @@ class Generations:
                 fresh.append(k)
             else:
                 self.young[k] = f
-        self.fill(self.young, fresh, [*map(text, fresh)])
+        self.fill(self.young, fresh, text(fresh))
         return [*map(self.young.__getitem__, keys)]
 
 
@@ -100,7 +116,7 @@ class Memo:
         found = self.later(coded.dictionary.filter(pa.array(used)).to_pylist(), spaced)
         place = np.where(place >= 0, (np.cumsum(used) - 1)[place] if len(used) else -1, -1)
         place[bounds[:-1]] = len(found) + heads.indices.to_numpy(zero_copy_only=False)
-        return found + self.first(heads.dictionary.to_pylist(), str), place, bounds
+        return found + self.first(heads.dictionary.to_pylist(), list), place, bounds
 
 
 class PieceEncoder:
@@ -111,7 +127,11 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.dtype = np.dtype("u2" if self.model.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "u4")
+        check_byte_level(json.loads(self.model.to_str()))
+        vocabulary = self.model.get_vocab(with_added_tokens=True)
+        self.dtype = np.dtype("u2" if max(vocabulary.values()) < 1 << 16 else "u4")
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token[:1] in SPACE_SYMBOLS]] = True
         self.marks = {"": b""}
         self.memo = Memo(self.fill)
 
@@ -119,6 +139,22 @@ class PieceEncoder:
         code = {2: "H", 4: "I"}[self.dtype.itemsize]
         return [array(code, f.ids).tobytes() for f in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def encode_joined(self, texts: list[str]) -> list[bytes]:
+        """encode, by joined runs of texts where each text begins with its only white space: just there an id begins with white space."""
+        out: list[bytes] = []
+        for at in range(0, len(texts), JOINED):
+            part = texts[at : at + JOINED]
+            whole = "".join(part)
+            if whole.count(" ") + whole.count("\n") == len(part) and all(t[:1] in (" ", "\n") for t in part) and not _ANY_OTHER_SPACE.search(whole):
+                ids = np.array(self.model.encode_batch_fast([whole], add_special_tokens=False)[0].ids, self.dtype)
+                starts = np.flatnonzero(self.opens[ids])
+                if len(starts) == len(part):
+                    data, size = ids.tobytes(), self.dtype.itemsize
+                    out += [data[a:b] for a, b in itertools.pairwise([*(starts * size).tolist(), len(data)])]
+                    continue
+            out += self.encode(part)
+        return out
+
     def fill(self, known: dict[str, bytes], fresh: list[str], texts: list[str]) -> None:
         """Marks that end a piece after a Latin letter are a pre-token of their own, so such a piece is its stem's ids and the marks'."""
         marks, wanted, ends = self.marks, {}, []
@@ -139,7 +175,7 @@ class PieceEncoder:
                 wanted.setdefault(text)
         need = [w for w, found in wanted.items() if found is None]
         for at in range(0, len(need), 4096):
-            wanted.update(zip(need[at : at + 4096], self.encode(need[at : at + 4096]), strict=True))
+            wanted.update(zip(need[at : at + 4096], self.encode_joined(need[at : at + 4096]), strict=True))
         for piece, stem, mark in ends:
             known[piece] = wanted[stem] + marks[mark]
 
