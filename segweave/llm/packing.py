@@ -10,12 +10,15 @@ sequence is padded.
 Tokens are encoded once and staged; bounds of the ranges come from the staged
 keys, weighed by their documents' tokens, the number of tokens in each range
 from a light pass, and then each range knows where it begins in the stream. Equal documents have equal places;
-a hash of doc_id in the low bits of the key spreads them, so a group of copies
+a hash of doc_id and row in the low bits of the key spreads them, so a group of copies
 of any size is split between ranges.
 
-Null and empty texts are a document of just the end id. Rows that share a
-doc_id are packed each on its own, ordered by their tokens; null ids come
-first among equal keys. An empty table gives no row; extra columns are ignored.
+Null and empty texts are a document of just the end id; a text of any length is
+one document, cut over as many sequences as it fills. Rows that share a
+doc_id are packed each on its own; they and those with null ids get a hash of
+their own place in the table, so that copies are split between ranges too. An
+empty table gives no row; extra columns are ignored. A vocabulary file that
+isn't plain byte-level BPE raises ValueError.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,11 +117,12 @@ def packed(docs: DataFrame, vocabulary: str, length: int = 1024, end_id: int = 0
 
     def encoded(batches):
         encode = encoder(vocabulary)
-        end = np.array([end_id], encode.dtype).tobytes()
+        end, seen, task = np.array([end_id], encode.dtype).tobytes(), 0, TaskContext.get().partitionId()
         for batch in shared.small_batches(shared.steady(batches, "tokens"), limit=BATCH_BYTES):
             ids = [x + end for x in encode(batch.column(1))]
             tokens = [np.frombuffer(x, encode.dtype) for x in ids]
-            ties = np.array([zlib.crc32(str(d).encode()) >> (32 - TIE_BITS) for d in batch.column(0).to_pylist()], np.int64)
+            ties = np.array([zlib.crc32(b"%d %d %d" % (d or 0, task, seen + k)) >> (32 - TIE_BITS) for k, d in enumerate(batch.column(0).to_pylist())], np.int64)
+            seen += len(ids)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(curve_keys(tokens) << TIE_BITS | ties), pa.array([len(t) for t in tokens], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "place", "n", "ids"])
 
     rows = shared.staged(docs.select("doc_id", "text").mapInArrow(encoded, "doc_id long, place long, n long, ids binary"), "packing-tokens")
@@ -127,7 +132,8 @@ def packed(docs: DataFrame, vocabulary: str, length: int = 1024, end_id: int = 0
     def ranged(batches):
         edges = np.array(bounds, np.int64)
         for batch in batches:
-            part = np.searchsorted(edges, batch.column(batch.schema.names.index("place")).to_numpy(), "right")
+            place = batch.column(batch.schema.names.index("place")).to_numpy()
+            part = np.searchsorted(edges, place, "right")
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *batch.columns], ["part", *batch.schema.names])
 
     sizes = dict(map(tuple, rows.select("place", "n").mapInArrow(ranged, "part int, place long, n long").groupBy("part").agg(F.sum("n")).collect()))
