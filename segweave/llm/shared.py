@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -51,10 +52,16 @@ def arrow_files(uri: str) -> tuple:
 
 
 def spread(df: DataFrame, column: str, count: int) -> list[int]:
-    """Up to count - 1 bounds that cut a long column into ranges of about equal rows; nulls lie below all."""
+    """count - 1 bounds (none of an empty table) that cut a long column into ranges of about equal rows; a value with many rows is a bound more than once."""
     steps = [i / count for i in range(1, count)]
     found = df.agg(F.percentile_approx(column, steps, 100 * count).alias("at")).first()["at"] if steps else None
-    return sorted(set(found or []))
+    return sorted(found or [])
+
+
+def ranges(bounds: np.ndarray, values: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The range of each value; a value that is a bound several times is dealt over its ranges by row number."""
+    low, high = np.searchsorted(bounds, values, "left"), np.searchsorted(bounds, values, "right")
+    return np.where(high > low + 1, low + 1 + rows % np.maximum(high - low, 1), high)
 
 
 def partitions(spark: SparkSession) -> int:

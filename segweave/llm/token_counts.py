@@ -9,7 +9,9 @@ are its tokens.
 
 Null texts count as empty (0 tokens), rows of equal doc_id are counted each on
 its own, an empty table gives no row, and extra columns are ignored. Special
-strings in a text are one token, as is the tokenizer's default.
+strings in a text are one token, as is the tokenizer's default. A text of any
+length is one row of a batch and is counted whole; a vocabulary file that isn't
+plain byte-level BPE raises ValueError.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
-from .tokens import BATCH_BYTES, CACHE_PIECES, Memo
+from .tokens import BATCH_BYTES, CACHE_PIECES, Memo, check_byte_level
 
 #: The split of byte-level pre-tokenizers, a fixed public pattern.
 PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -45,6 +47,7 @@ class MergeTable:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        check_byte_level(spec)
         vocab = spec["model"]["vocab"]
         merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         left, right, made = (np.array([vocab[x] for x in side], np.int64) for side in ([m[0] for m in merges], [m[1] for m in merges], [m[0] + m[1] for m in merges]))

@@ -8,9 +8,11 @@ checksum is CRC-32, masked by rotation and an added constant so that a checksum
 of bytes that hold checksums stays sound.
 
 Rows with null doc_id come first, null or empty texts are a record with only
-the end id, and rows that share a doc_id follow each other, ordered by their
-ids' bytes.
-Extra columns are ignored; an empty table gives no shard and no row.
+the end id, and rows that share a doc_id follow each other. A doc_id (or null)
+with more rows than a shard should have is dealt over several shards, in each
+of which its rows are ordered by their ids' bytes. A text of any length is one record.
+Extra columns are ignored; an empty table gives no shard and no row. A vocabulary file
+that isn't plain byte-level BPE raises ValueError.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import shared
 from .tokens import BATCH_BYTES, encoder
@@ -70,15 +73,18 @@ def write(docs: DataFrame, vocabulary: str, end_id: int = 2, shards: int | None
     folder = shared.fresh_path(spark, "token-shards")
     count = shards or shared.partitions(spark)
 
-    bounds = shared.spread(docs.select("doc_id"), "doc_id", count)
+    lowest = int(np.iinfo(np.int64).min)
+    bounds = shared.spread(docs.select(F.coalesce("doc_id", F.lit(lowest)).alias("doc_id")), "doc_id", count)
 
     def encoded(batches):
-        encode, edges = encoder(vocabulary), np.array(bounds, np.int64)
+        encode, edges, seen = encoder(vocabulary), np.array(bounds, np.int64), 0
         for batch in shared.small_batches(shared.steady(batches, "tokens"), limit=BATCH_BYTES):
             end = np.array([end_id], encode.dtype).tobytes()
             ids = [x + end for x in encode(batch.column(1))]
-            low = batch.column(0).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(edges, low, "right"), pa.int32()), batch.column(0), pa.array(ids, pa.binary()), pa.array([encode.dtype.itemsize] * len(ids), pa.int32())], ["shard", "doc_id", "ids", "width"])
+            low = batch.column(0).fill_null(lowest).to_numpy(zero_copy_only=False)
+            shard = shared.ranges(edges, low, seen + np.arange(len(low)))
+            seen += len(low)
+            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), batch.column(0), pa.array(ids, pa.binary()), pa.array([encode.dtype.itemsize] * len(ids), pa.int32())], ["shard", "doc_id", "ids", "width"])
 
     def run(batches):
         shard = TaskContext.get().partitionId()
@@ -126,16 +132,18 @@ def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     The driver only adds up one row for each shard.
     """
     rows, start = [], 0
-    for shard, path, _, tokens, _ in sorted(map(tuple, manifest.collect())):
-        rows.append((len(rows), path, start))
+    for _, path, docs, tokens, size in sorted(map(tuple, manifest.collect())):
+        rows.append((len(rows), path, start, docs, tokens, size))
         start += tokens
 
     def run(batches):
         for batch in batches:
-            for path, base in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for path, base, docs, tokens, size in zip(*(batch.column(k).to_pylist() for k in range(1, 6)), strict=True):
                 index = read_index(path)
                 files, name = shared.arrow_files(path)
                 with files.open_input_file(name + ".rec") as f:
+                    if (len(index), int(index["n_tokens"].sum()), f.size()) != (docs, tokens, size):
+                        raise ValueError(f"{path} or its index isn't what the manifest says")
                     for lo in range(0, len(index), 1024):
                         part = index[lo : lo + 1024]
                         end = int(index["offset"][lo + 1024]) if lo + 1024 < len(index) else f.size()
@@ -149,7 +157,7 @@ def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                         base += int(n.sum())
                         yield pa.RecordBatch.from_pydict({"doc_id": pa.array([g[0] for g in got], pa.int64()), "start": starts, "n_tokens": n, "ids_crc32": pa.array([zlib.crc32(g[1].astype("<u4").tobytes()) for g in got], pa.int64())})
 
-    shards = spark.createDataFrame(rows, "shard int, path string, base long")
+    shards = spark.createDataFrame(rows, "shard int, path string, base long, docs long, tokens long, bytes long")
     return shards.repartitionById(max(1, len(rows)), shards.shard).mapInArrow(run, _RECORD)
 
 
