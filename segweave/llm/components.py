@@ -2,8 +2,9 @@
 
 Each round hangs every node's larger neighbours, then its smaller ones, on the
 least node it sees, until the edges are stars around their components' least
-nodes. Minima are pre-aggregated before the shuffle and joined back, so the
-many edges of a hub are split like any skewed join; each round is staged in
+nodes. A node's edges are dealt by a salt of their other end: minima are
+aggregated by node and salt, then by node, and go back to the salts that the node has, so
+the edges of a hub are never in one task. Each round is staged in
 the shared folder, which cuts the lineage.
 """
 
@@ -24,11 +25,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = _print(star)
     while before[0]:
         both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).where("u <> v").distinct()
         large = shared.staged(large, "components")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        hung = _with_least(large).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         star = shared.staged(hung.distinct(), "components")
         after = _print(star)
         if after == before:
@@ -37,6 +36,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return star.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(star.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def _with_least(edges: DataFrame) -> DataFrame:
+    """u, v and m, the least v of u."""
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(shared.partitions(edges.sparkSession))))
+    least = salted.groupBy("u", "salt").agg(F.min("v").alias("m")).groupBy("u").agg(F.min("m").alias("m"), F.collect_list("salt").alias("salts"))
+    return salted.join(least.select("u", "m", F.explode("salts").alias("salt")), ["u", "salt"]).select("u", "v", "m")
+
+
 def _print(edges: DataFrame) -> tuple:
     """Number and order-free checksum of the edges."""
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())

@@ -1,23 +1,34 @@
 """N-gram Jaccard self-join with signature trees.
 
-A document is the set of its distinct 5-word shingles; two link if their
-Jaccard similarity reaches the threshold. Equal sets are folded first. Sets that
-may link are routed into buckets by bands of minimum hashes; 40 bands
-of 4 miss a pair of similarity 0.75 with probability (1 - 0.75^4)^40 < 3e-7, a closer
-pair less. Inside a bucket the answer is exact: a tree over the sets, ordered by size,
-keeps in each node the OR of its sets' bitmaps over the bucket's shingles and
-its range of sizes; a dual traversal drops node pairs whose greatest possible
+A document is the set of its distinct 5-word shingles (64-bit hashes); two link
+if their Jaccard similarity reaches 0.75. Equal sets are folded first. Sets that
+may link are routed into buckets; in each a signature tree, ordered by size,
+keeps in every node the OR of its sets' bitmaps over the bucket's shingles and
+its range of sizes. A dual traversal drops node pairs whose greatest possible
 overlap can't reach the threshold, and those that are one class already; what
 is left is counted bit by bit.
 
-Buckets carry ids until they are known to hold several sets; those with
-equal members are compared once, large ones are cut into blocks that meet pair by pair, so no task holds an unbounded
-bucket. The first bands are compared first, and of the other bands only
-buckets that still hold several classes.
+One tree over all documents would prune nothing: the OR of sixteen unlike texts
+already meets that of sixteen others. So there are two rounds of many trees.
+
+- The first joins what is plainly alike: buckets of equal bands of minimum
+  hashes, the members dealt into blocks that each hold the bucket's least
+  member too. It needs to find nothing; it makes the second round small.
+- The second is exact. All shingles are put in one order: first those that a
+  single class holds, then by the number of sets that hold them, last those that
+  a bounded sample of sets shows to be common. Two sets that link share one of
+  the first n // 4 + 1 of either (the prefix of n shingles, as at most a
+  quarter of either set is not in the other), and it is one that several classes
+  hold; so each set is routed by those, and large buckets are cut into blocks that
+  meet pair by pair. What the sample holds changes the order alone, never the answer.
+
+Shingles travel as packed arrays, each range of hashes to one task in bounded
+parts; a shingle that many documents hold is in the sample's list and doesn't
+travel. Buckets are counted before their members are dealt, so no task holds an unbounded one.
 
 Null and empty texts and those without words have no shingles and link with
-nothing; with fewer words than a shingle, the whole sequence is one shingle.
-Rows that share a doc_id are one node; if their sets differ, the set of least
+nothing; with fewer words than a shingle, the whole sequence is one shingle. A text of any length
+is one set. Rows that share a doc_id are one node; if their sets differ, the set of least
 digest is the node's. A null doc_id is carried with null
 component and links nobody. An empty table gives no row; extra columns are ignored.
 """
@@ -32,9 +43,15 @@ from pyspark.sql import functions as F
 from . import shared
 from .components import Union, components
 
-WORDS, BANDS, ROWS = 5, 40, 4
-#: Bands of the first round, shingles of a block of a bucket, sets of a tree's leaf.
-FIRST_BANDS, BLOCK_SHINGLES, LEAF = 6, 600_000, 16
+WORDS = 5
+#: Bands of the first round and the minimum hashes of each.
+BANDS, ROWS = 6, 4
+#: Shingles of a block of a bucket, sets of a tree's leaf.
+BLOCK_SHINGLES, LEAF = 600_000, 16
+#: Sets of the sample that tells common shingles, in how many of them one is common, and how many are listed at most.
+SAMPLE_SETS, COMMON_IN, COMMON_MOST = 8192, 16, 100_000
+#: Shingles that a task looks at together.
+PART_SHINGLES = 2_000_000
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -85,15 +102,19 @@ def band_keys(found: np.ndarray) -> np.ndarray:
     return key.astype(np.int64)
 
 
-def profiles(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (two longs) and band keys of each row."""
+def profiles(docs: DataFrame, sampled: float = 0.0) -> DataFrame:
+    """doc_id, n_shingles, digest of the set (two longs), band keys, and for a share `sampled` of the digests the set itself."""
+    most = int(sampled * float(1 << 63))
 
     def step(columns, texts):
         found = [shingles(t) for t in texts]
-        d1, d2 = zip(*[_digest(f.tobytes()) for f in found], strict=True) if found else ((), ())
-        return pa.RecordBatch.from_pydict({"doc_id": pa.array(columns[0], pa.int64()), "n_shingles": pa.array([len(f) for f in found], pa.int64()), "d1": pa.array(d1, pa.int64()), "d2": pa.array(d2, pa.int64()), "bands": pa.array([band_keys(f).tobytes() if len(f) else None for f in found], pa.binary())})
+        data = [f.tobytes() for f in found]
+        d1, d2 = zip(*map(_digest, data), strict=True) if found else ((), ())
+        chosen = [d if len(d) and (x & (1 << 63) - 1) < most else None for d, x in zip(data, d1, strict=True)]
+        bands = pa.array([band_keys(f) if len(f) else None for f in found], pa.list_(pa.int64()))
+        return pa.RecordBatch.from_pydict({"doc_id": pa.array(columns[0], pa.int64()), "n_shingles": pa.array([len(f) for f in found], pa.int64()), "d1": pa.array(d1, pa.int64()), "d2": pa.array(d2, pa.int64()), "bands": bands, "sampled": pa.array(chosen, pa.binary())})
 
-    return shared.text_map(docs, ["doc_id"], step, "doc_id long, n_shingles long, d1 long, d2 long, bands binary", "words")
+    return shared.text_map(docs, ["doc_id"], step, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sampled binary", "words")
 
 
 def _digest(data: bytes) -> list[int]:
@@ -102,70 +123,150 @@ def _digest(data: bytes) -> list[int]:
     return np.frombuffer(xxhash.xxh3_128_digest(data), "<i8").tolist()
 
 
-def blocks(sizes: np.ndarray, most: int = BLOCK_SHINGLES) -> list[tuple[int, int]]:
-    """Ranges of the ascending sizes that hold about `most` shingles each."""
-    part = (np.cumsum(sizes) - sizes) // most
-    at = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-    return list(zip(at.tolist(), [*at[1:].tolist(), len(sizes)], strict=True))
-
+def common_shingles(rows: DataFrame) -> np.ndarray:
+    """Sorted hashes of the shingles that many of the sampled sets hold, the most common ones up to the bound."""
 
-def buckets(classes: DataFrame, first: int, stop: int) -> DataFrame:
-    """bucket, rep of the buckets of bands first..stop-1 that hold several classes `component`."""
-
-    def keys(batches):
+    def flat(batches):
         for batch in batches:
-            bands = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.int64).reshape(-1, BANDS)[:, first:stop]
-            k = bands.shape[1]
-            yield pa.RecordBatch.from_arrays([pa.array(bands.ravel()), *(pa.array(np.repeat(batch.column(i).to_numpy(), k)) for i in (0, 1, 2))], ["key", "rep", "n", "component"])
-
-    def grouped(batches):
-        import xxhash
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64))], ["shingle"])
+
+    sets = rows.where("sampled IS NOT NULL").select("d1", "d2", "sampled").dropDuplicates(["d1", "d2"]).select("sampled")
+    counts = sets.mapInArrow(flat, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON_IN)
+    found = counts.orderBy(F.desc("n"), "shingle").limit(COMMON_MOST).select("shingle").collect()
+    return np.sort(np.array([r[0] for r in found], np.int64).view(np.uint64))
+
+
+def buckets(members: DataFrame, pairwise: bool, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """bucket, rep, component of the buckets `key` that hold several classes, from members key, rep, n, component.
+
+    Buckets of equal members are kept once. Those of more than `block` shingles
+    are dealt into blocks; pairwise, each two blocks meet, else each block holds the
+    bucket's least member as well. Counts are aggregated before members move.
+    """
+    members = members.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(shared.partitions(members.sparkSession))))
+    part = members.groupBy("key", "salt").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rep")).alias("mix"), F.sum("n").alias("words"), F.min("rep").alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high"))
+    whole = part.groupBy("key").agg(F.sum("size").alias("size"), F.bit_xor("mix").alias("mix"), F.sum("words").alias("words"), F.min("pivot").alias("pivot"), F.min("low").alias("low"), F.max("high").alias("high"), F.collect_list("salt").alias("salts"))
+    kept = whole.where("size > 1 AND low < high").groupBy("size", "mix", "words", "pivot").agg(F.min(F.struct("key", "salts")).alias("own"))
+    kept = kept.select("own.key", "pivot", F.ceil(F.col("words") / block).alias("blocks"), F.explode("own.salts").alias("salt"))
+    found = members.join(kept, ["key", "salt"])  # a large bucket's members are dealt by salt
+    mine = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    if pairwise:
+        names = F.transform(every, lambda other: F.xxhash64("key", F.least(mine, other), F.greatest(mine, other)))
+    else:
+        names = F.transform(F.when(F.col("rep") == F.col("pivot"), every).otherwise(F.array(mine)), lambda b: F.xxhash64("key", b))
+    return found.select(F.explode(names).alias("bucket"), "rep", "component")
+
+
+def prefixes(docs: DataFrame, classes: DataFrame, common: np.ndarray, parts: int) -> DataFrame:
+    """key, rep, n, component: the shingles of each set's prefix that several classes hold.
+
+    `classes` has doc_id, component (null: a copy, left out) and digest (d1, d2; null: any) of
+    the documents that aren't a class of their own.
+    """
+    spark = docs.sparkSession
+    shipped = spark.sparkContext.broadcast(common)
+    rows = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
+    small = F.broadcast(classes) if classes.count() <= shared.BROADCAST_KEYS else classes
+    rows = rows.join(small.withColumn("known", F.lit(True)), "doc_id", "left").where("known IS NULL OR component IS NOT NULL")
+    rows = rows.select("doc_id", F.coalesce("component", "doc_id").alias("component"), "d1", "d2", "text")
+
+    def packed(by: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+        order = np.argsort(by.astype(np.uint16) if parts <= 1 << 16 else by, kind="stable")  # 16 bits are sorted by radix
+        by = by[order]
+        heads = np.flatnonzero(np.r_[True, by[1:] != by[:-1]]) if len(by) else np.zeros(0, int)
+        stops = np.r_[heads[1:], len(by)] if len(by) else heads
+        cut = [c[order] for c in columns]
+        return pa.RecordBatch.from_arrays([pa.array(by[heads].astype(np.int64)), *[pa.array([c[a:b].tobytes() for a, b in zip(heads, stops, strict=True)], pa.binary()) for c in cut]], ["part", *[f"c{k}" for k in range(len(cut))]])
+
+    def entries(batches):
+        for batch in shared.small_batches(shared.steady(batches, "words")):
+            ids, component, d1, d2, texts = (c.to_pylist() for c in batch.columns)
+            out, direct = [], []
+            for i, k, x, y, text in zip(ids, component, d1, d2, texts, strict=True):
+                found = shingles(text or "")
+                n = len(found)
+                if not n or (x is not None and _digest(found.tobytes()) != [x, y]):
+                    continue
+                at = np.searchsorted(shipped.value, found)
+                often = np.zeros(n, bool) if not len(shipped.value) else shipped.value[np.minimum(at, len(shipped.value) - 1)] == found
+                part = (found >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+                names = np.unique(part[~often] << np.uint64(32) | found[~often] & np.uint64(0xFFFFFFFF))
+                out.append((names, i, k, n, n // 4 + 1 - len(names)))
+                if len(names) < n // 4 + 1:
+                    direct.append((found[often][: n // 4 + 1 - len(names)], i, k, n, 0))
+            for own, kind in ((out, 1), (direct, 0)):
+                if own:
+                    names = np.concatenate([r[0] for r in own])
+                    size = [len(r[0]) for r in own]
+                    rep, comp, n, short = (np.repeat(np.array([r[c] for r in own], t), size) for c, t in ((1, np.int64), (2, np.int64), (3, np.int32), (4, np.int32)))
+                    by = (names >> np.uint64(32)).astype(np.int64) if kind else (rep.view(np.uint64) * _P >> np.uint64(32)).astype(np.int64) % parts
+                    yield packed(by, [names.view(np.int64), rep, comp, n, short, np.full(len(names), kind, np.int8)])
+
+    def grouped(step):
+        types = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int8)
+
+        def run(batches):
+            held, now = [], None
+            for batch in batches:
+                part = batch.column(0).to_pylist()
+                for r, p in enumerate(part):
+                    if p != now and held:
+                        yield step([np.concatenate(c) for c in zip(*held, strict=True)])
+                        held = []
+                    now = p
+                    held.append([np.frombuffer(batch.column(1 + k)[r].as_buffer(), t) for k, t in enumerate(types)])
+            if held:
+                yield step([np.concatenate(c) for c in zip(*held, strict=True)])
+
+        return run
+
+    def shared_by_classes(columns):
+        """Of the entries of a range of shingles those that several classes hold, with the number of sets, dealt by set."""
+        name, rep, comp, n, short, kind = columns
+        order = np.argsort(name, kind="stable")
+        name, rep, comp, n, short, kind = (c[order] for c in (name, rep, comp, n, short, kind))
+        heads = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
+        count = np.diff(np.r_[heads, len(name)])
+        several = np.minimum.reduceat(comp, heads) < np.maximum.reduceat(comp, heads)
+        keep = np.repeat(several, count) | (kind == 0)
+        sets = np.where(kind == 0, 0, np.repeat(count, count))[keep].astype(np.int32)
+        by = (rep[keep].view(np.uint64) * _P >> np.uint64(32)).astype(np.int64) % parts
+        return packed(by, [name[keep], rep[keep], comp[keep], n[keep], short[keep], sets])
+
+    def first_ones(batches):
+        """Of each set's entries those of its prefix."""
+        types = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32)
+
+        def chosen(held):
+            name, rep, comp, n, short, sets = (np.concatenate(c) for c in zip(*held, strict=True))
+            order = np.lexsort((name, sets, rep))
+            name, rep, comp, n, short, sets = (c[order] for c in (name, rep, comp, n, short, sets))
+            new = np.r_[True, (rep[1:] != rep[:-1]) | (name[1:] != name[:-1]) | ((sets[1:] == 0) != (sets[:-1] == 0))]
+            name, rep, comp, n, short, sets = (c[new] for c in (name, rep, comp, n, short, sets))
+            heads = np.flatnonzero(np.r_[True, rep[1:] != rep[:-1]])
+            size = np.diff(np.r_[heads, len(rep)])
+            direct = np.add.reduceat((sets == 0).astype(np.int64), heads)  # they come first of a set, and all are taken
+            take = np.repeat(direct + np.maximum(np.maximum.reduceat(np.where(sets == 0, np.iinfo(np.int32).min, short), heads) + size - direct, 0), size)
+            place = np.arange(len(rep)) - np.repeat(heads, size)
+            good = place < take
+            return pa.RecordBatch.from_arrays([pa.array(c[good], pa.int64()) for c in (name, rep, n, comp)], ["key", "rep", "n", "component"])
 
-        def emit(rep, n, component, out):
-            if len(rep) < 2 or (component == component[0]).all():
-                return
-            order = np.lexsort((rep, n))
-            rep, n = rep[order], n[order]
-            cut = blocks(n)
-            name = xxhash.xxh3_128_digest(rep.astype("<i8").tobytes())
-            if len(cut) == 1:
-                out.append((name, rep))
-                return
-            alone = set(range(len(cut)))
-            for i, (a, b) in enumerate(cut):
-                for j in range(i + 1, len(cut)):
-                    c, d = cut[j]
-                    if 4 * n[b - 1] < 3 * n[c]:
-                        continue
-                    out.append((xxhash.xxh3_128_digest(name + bytes(f"{i} {j}", "ascii")), np.r_[rep[a:b], rep[c:d]]))
-                    alone -= {i, j}
-            for i in sorted(alone):  # a pair of blocks holds the links inside either; these are in none
-                a, b = cut[i]
-                if b - a > 1:
-                    out.append((xxhash.xxh3_128_digest(name + bytes(f"{i} {i}", "ascii")), rep[a:b]))
-
-        held = [np.zeros(0, np.int64)] * 4
+        held, now = [], None
         for batch in batches:
-            now = [np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(held)]
-            edges = np.flatnonzero(np.r_[True, now[0][1:] != now[0][:-1]]) if len(now[0]) else np.zeros(0, int)
-            out = []
-            width = np.diff(edges)
-            for a, w in zip(edges[:-1][width > 1].tolist(), width[width > 1].tolist(), strict=True):
-                emit(*(x[a : a + w] for x in now[1:]), out)
-            held = [x[edges[-1] :] for x in now] if len(edges) else held
-            yield _members(out)
-        out = []
-        emit(*held[1:], out)
-        yield _members(out)
-
-    light = classes.select("rep", "n", "component", "bands").mapInArrow(keys, "key long, rep long, n long, component long")
-    found = light.repartition(shared.partitions(classes.sparkSession), "key").sortWithinPartitions("key").mapInArrow(grouped, "bucket binary, rep long")
-    return found.distinct()
-
+            for r, p in enumerate(batch.column(0).to_pylist()):
+                if p != now and held:
+                    yield chosen(held)
+                    held = []
+                now = p
+                held.append([np.frombuffer(batch.column(1 + k)[r].as_buffer(), t) for k, t in enumerate(types)])
+        if held:
+            yield chosen(held)
 
-def _members(out: list) -> pa.RecordBatch:
-    names = [b for b, rep in out for _ in range(len(rep))]
-    return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(np.concatenate([r for _, r in out]) if out else [], pa.int64())], ["bucket", "rep"])
+    blob = "part long, " + ", ".join(f"c{k} binary" for k in range(6))
+    to = shared.partitions(spark)
+    found = rows.mapInArrow(entries, blob).repartition(to, "part").sortWithinPartitions("part").mapInArrow(grouped(shared_by_classes), blob)
+    return found.repartition(to, "part").sortWithinPartitions("part").mapInArrow(first_ones, "key long, rep long, n long, component long")
 
 
 class SignatureTree:
@@ -222,7 +323,7 @@ class SignatureTree:
 
 
 def compared(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """Links a, b that join the sets of each bucket into its classes."""
+    """Links a, b that join the sets of each bucket into its classes, from members bucket, rep, component."""
     members = shared.staged(members, "buckets")
 
     def sets(columns, texts):
@@ -233,21 +334,23 @@ def compared(docs: DataFrame, members: DataFrame) -> DataFrame:
     wanted = shared.rows_with(docs.select(F.col("doc_id").alias("rep"), "text").where("rep IS NOT NULL"), members.select("rep").distinct(), "rep")
     found = shared.text_map(wanted, ["rep"], sets, "rep long, d1 long, d2 long, set binary", "words").where(F.length("set") > 0)
     found = found.groupBy("rep").agg(F.min(F.struct("d1", "d2", "set")).alias("own")).select("rep", "own.set")
-    rows = members.join(found, "rep").select("bucket", "rep", "set", F.length("set").alias("size"))
+    rows = members.join(found, "rep").select("bucket", "rep", "component", "set", F.length("set").alias("size"))
 
     def joined(batches):
         def links(held):
-            tree = SignatureTree([np.frombuffer(s, np.uint64) for _, s in held])
-            return [(held[i][0], held[j][0]) for i, j in tree.links(Union(len(held)))]
+            tree, union, first = SignatureTree([np.frombuffer(s, np.uint64) for _, _, s in held]), Union(len(held)), {}
+            for i, (_, component, _) in enumerate(held):  # what is one class already isn't compared
+                union.join(first.setdefault(component, i), i)
+            return [(held[i][0], held[j][0]) for i, j in tree.links(union)]
 
         held, now = [], None
         for batch in batches:
             out = []
-            for bucket, rep, data in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2)), strict=True):
+            for bucket, rep, component, data in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if bucket != now and held:
                     out += links(held)
                     held = []
-                held.append((rep, data))
+                held.append((rep, component, data))
                 now = bucket
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
         if held:
@@ -258,26 +361,58 @@ def compared(docs: DataFrame, members: DataFrame) -> DataFrame:
     return shared.staged(dealt.mapInArrow(joined, "a long, b long"), "links")
 
 
-def jaccard_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of each row."""
-    rows = shared.staged(profiles(docs), "shingle-profiles")
-    some = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("d1", "d2", F.col("n_shingles").alias("n"), "bands")).alias("own")).select("doc_id", "own.*")
+def classified(docs: DataFrame, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """doc_id, n_shingles, component_id and digest (d1, d2) of each row, staged."""
+    count = docs.count()
+    rows = shared.staged(profiles(docs, min(1.0, SAMPLE_SETS / max(1, count))), "shingle-profiles")
+    some = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("d1", "d2", F.col("n_shingles").alias("n"), "bands")).alias("own"), F.count_distinct("d1", "d2").alias("sets")).select("doc_id", "own.*", "sets")
+    some = shared.staged(some, "shingle-nodes")
     folded = shared.staged(some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("other"), F.first("n").alias("n"), F.first("bands").alias("bands")), "shingle-classes")
-    classes = folded.withColumn("component", F.col("rep"))
-    near = compared(docs, buckets(classes, 0, FIRST_BANDS))
-    groups = shared.staged(components(near), "classes-first")
-    classes = folded.join(groups, F.col("rep") == groups.node, "left").select("rep", "n", "bands", F.coalesce("component", "rep").alias("component"))
-    more = compared(docs, buckets(shared.staged(classes, "classes-joined"), FIRST_BANDS, BANDS))
+    banded = folded.select("rep", "n", F.col("rep").alias("component"), F.explode("bands").alias("key"))
+    groups = shared.staged(components(compared(docs, buckets(banded, False, block))), "classes-first")
+
     copies = folded.where("rep < other").select("d1", "d2", "rep")
-    copies = some.select("doc_id", "d1", "d2").join(copies, ["d1", "d2"]).where("rep <> doc_id").select("doc_id", "rep")
+    copies = shared.staged(some.select("doc_id", "d1", "d2").join(copies, ["d1", "d2"]).where("rep <> doc_id").select("doc_id", "rep"), "shingle-copies")
+    # of documents with several sets the digest of the one that counts
+    odd = some.where("sets > 1").select("doc_id", "d1", "d2")
+    linked = groups.where("node <> component").select(F.col("node").alias("doc_id"), "component")
+    known = linked.join(odd, "doc_id", "full").select("doc_id", F.coalesce("component", "doc_id").alias("component"), "d1", "d2")
+    none = F.lit(None).cast("long")
+    known = known.join(copies, "doc_id", "left_anti").unionByName(copies.select("doc_id", none.alias("component"), none.alias("d1"), none.alias("d2")))
+    words = folded.agg(F.sum("n")).first()[0] or 0
+    prefix = prefixes(docs, shared.staged(known, "classes-known"), common_shingles(rows), max(1, -(-words // PART_SHINGLES)))
+    more = compared(docs, buckets(shared.staged(prefix, "prefixes"), True, block))
+
     found = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     found = shared.staged(found, "classes-linked")
-    copies = copies.join(found, F.col("rep") == found.node, "left").select(F.col("doc_id").alias("node"), F.coalesce("component", "rep").alias("component"))
-    found = found.unionByName(copies)
-    return rows.select("doc_id", "n_shingles").join(found, F.col("doc_id") == found.node, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    copied = copies.join(found, F.col("rep") == found.node, "left").select(F.col("doc_id").alias("node"), F.coalesce("component", "rep").alias("component"))
+    found = found.unionByName(copied)
+    return rows.select("doc_id", "n_shingles", "d1", "d2").join(found, F.col("doc_id") == found.node, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), "d1", "d2")
+
+
+def jaccard_classes(docs: DataFrame, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """doc_id, n_shingles, component_id of each row."""
+    return classified(docs, block).select("doc_id", "n_shingles", "component_id")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """Rows of docs that stand for their class: those whose doc_id is its component_id, one row each; rows with null ids stay."""
-    lost = jaccard_classes(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti").select(docs.columns)
+    """One row of docs for each class: that whose doc_id is its component_id; rows with null ids stay.
+
+    Of rows that repeat a doc_id, the one whose set counts stays; of several such, that of the least text.
+    """
+    found = shared.staged(classified(docs), "classes")
+    lost = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(lost, "doc_id", "left_anti").select(docs.columns)
+    repeated = shared.staged(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"), "repeated-ids")
+    if repeated.isEmpty():
+        return kept
+    packed = shared.rows_with(kept.select("doc_id", F.struct("*").alias("_row"), "text"), repeated, "doc_id")
+
+    def digested(batches):
+        for batch in shared.small_batches(shared.steady(batches, "words")):
+            d = [_digest(f.tobytes()) + [not len(f)] for f in (shingles(t or "") for t in batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array([x[k] for x in d], t) for k, t in ((2, pa.bool_()), (0, pa.int64()), (1, pa.int64()))]], ["doc_id", "_row", "text", "bare", "d1", "d2"])
+
+    schema = packed.withColumn("bare", F.lit(False)).withColumn("d1", F.lit(0).cast("long")).withColumn("d2", F.lit(0).cast("long")).schema
+    first = packed.mapInArrow(digested, schema).groupBy("doc_id").agg(F.min_by("_row", F.struct("bare", "d1", "d2", "text")).alias("_row")).select("_row.*")
+    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(first.select(docs.columns))

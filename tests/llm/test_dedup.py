@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from segweave.llm import components, embedding_dedup, ngram_join, substring_dedup
 
@@ -71,24 +72,49 @@ def test_jaccard_classes_match_brute_force(docs, nasty):
     assert ngram_join.jaccard_classes(docs([])).collect() == []
 
 
-def test_blocks_of_large_buckets_lose_no_link(docs, monkeypatch):
+def test_blocks_of_large_buckets_lose_no_link(docs):
     base = [f"t{i}" for i in range(60)]
     rows = [(i, " ".join(base[:50] + [f"x{i}"] + base[50:])) for i in range(120)]
-    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 400)
-    monkeypatch.setattr(ngram_join.blocks, "__defaults__", (400,))
-    assert {r.component_id for r in ngram_join.jaccard_classes(docs(rows)).collect()} == {0}
+    assert {r.component_id for r in ngram_join.jaccard_classes(docs(rows), block=400).collect()} == {0}
+    rows = near_copies(7)
+    assert {r.doc_id: r.component_id for r in ngram_join.jaccard_classes(docs(rows), block=150).collect()} == brute_classes(rows)[1]
 
 
-def test_a_block_without_a_neighbour_is_compared_with_itself(spark):
-    n = [k * ngram_join.BLOCK_SHINGLES // 600 for k in (200, 200, 200, 300, 300, 500, 800, 800)]
-    assert ngram_join.blocks(np.array(n)) == [(0, 3), (3, 5), (5, 7), (7, 8)]
-    bands = bytearray(np.arange(ngram_join.BANDS).astype("<i8").tobytes())  # all in one bucket
-    classes = spark.createDataFrame([(i, k, i, bands) for i, k in enumerate(n)], "rep long, n long, component long, bands binary")
+@pytest.mark.parametrize("pairwise", [True, False])
+def test_blocks_hold_what_meets(spark, pairwise):
+    n = [200, 200, 200, 300, 300, 500, 800, 800]
+    members = [(key, i, k, i) for key in (1, 2) for i, k in enumerate(n)] + [(3, 1, 200, 1), (3, 2, 200, 1), (4, 5, 500, 5)]
     got = {}
-    for r in ngram_join.buckets(classes, 0, 1).collect():
-        got.setdefault(bytes(r.bucket), set()).add(r.rep)
+    for r in ngram_join.buckets(spark.createDataFrame(members, "key long, rep long, n long, component long"), pairwise, block=600).collect():
+        got.setdefault(r.bucket, set()).add(r.rep)
     together = {(i, j) for g in got.values() for i in g for j in g if i < j}
-    assert together >= {(i, j) for i in range(8) for j in range(i + 1, 8) if 4 * n[i] >= 3 * n[j]}
+    if pairwise:
+        assert together == {(i, j) for i in range(8) for j in range(i + 1, 8)}
+    else:
+        assert all(0 in g for g in got.values()) and set().union(*got.values()) == set(range(8))
+    whole = [g for g in ngram_join.buckets(spark.createDataFrame(members, "key long, rep long, n long, component long"), pairwise, block=1 << 30).collect()]
+    assert len({r.bucket for r in whole}) == 1 and len(whole) == 8  # equal members once, one class and one member not at all
+
+
+@pytest.mark.parametrize("listed", ["none", "some", "all"])
+def test_prefixes_lose_no_link(spark, docs, listed):
+    rows = near_copies(3, 40) + [(1000 + i, " ".join([f"p{k}" for k in range(30)] + [f"q{i}_{k}" for k in range(i)])) for i in range(20)]
+    sets, _ = brute_classes(rows)
+    every = np.unique(np.concatenate([ngram_join.shingles(t) for _, t in rows if t]))
+    common = {"none": every[:0], "some": every[::2], "all": every}[listed]
+    none = spark.createDataFrame([], "doc_id long, component long, d1 long, d2 long")
+    keys = {}
+    for r in ngram_join.prefixes(docs(rows), none, common, 5).collect():
+        keys.setdefault(r.rep, set()).add(r.key)
+    ids = [d for d in sets if sets[d]]
+    linked = [(a, b) for a in ids for b in ids if a < b and sets[a] != sets[b] and 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b])]
+    assert len(linked) > 50 and all(keys[a] & keys[b] for a, b in linked)
+
+
+def test_each_linked_pair_of_a_table_is_found(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    got = ngram_join.jaccard_classes(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == brute_classes(rows)[1]
 
 
 def test_tree_finds_the_links_of_all_pairs():
@@ -109,6 +135,8 @@ def test_representatives(docs):
     got = ngram_join.representatives(docs(rows))
     assert got.columns == docs(rows).columns
     assert sorted(r.doc_id for r in got.where("doc_id IS NOT NULL").collect()) == sorted({*want.values()}) and got.where("doc_id IS NULL").count() == 2
+    got = ngram_join.representatives(docs([(1, "a b c d e f"), (1, "a b c d e f"), (1, None), (2, "A b c d e f"), (3, None), (3, "")]))
+    assert sorted((r.doc_id, r.text) for r in got.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).collect()) == [(1, "a b c d e f"), (3, "")]
 
 
 def test_embeddings_match_brute_force(spark):
