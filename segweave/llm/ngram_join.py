@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,47 +46,59 @@ from .components import Union, components
 
 WORDS = 5
 #: Bands of the first round and the minimum hashes of each.
-BANDS, ROWS = 6, 4
-#: Shingles of a block of a bucket, sets of a tree's leaf.
-BLOCK_SHINGLES, LEAF = 600_000, 16
+BANDS, ROWS = 4, 4
+#: Shingles of a block of a bucket in the first round and in the second, sets of a tree's leaf.
+FIRST_BLOCK, BLOCK_SHINGLES, LEAF = 60_000, 600_000, 16
 #: Sets of the sample that tells common shingles, in how many of them one is common, and how many are listed at most.
 SAMPLE_SETS, COMMON_IN, COMMON_MOST = 8192, 16, 100_000
 #: Shingles that a task looks at together.
-PART_SHINGLES = 2_000_000
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+PART_SHINGLES = 400_000
+#: Bytes with A-Z lower-cased and all white space as spaces.
+_PLAIN = bytes(32 if 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-class _WordHash(dict):
-    """xxhash of words, kept for the most recent million."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > 1_000_000:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """xxhash of each word of all texts, and where each text's words begin (and the last one's end)."""
+    import xxhash
 
-_HASH = _WordHash()
-shared.CACHES["words"] = _HASH.clear
+    raw = pa.array(texts, pa.binary())
+    _, offsets, data = raw.buffers()
+    even = pa.Array.from_buffers(pa.string(), len(raw), [None, offsets, pa.py_buffer((data.to_pybytes() if data else b"").translate(_PLAIN))])
+    parts = pc.split_pattern(even, " ")
+    bounds = np.r_[0, np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False), dtype=np.int64)]
+    flat = parts.flatten()
+    filled = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+    if not filled.all():
+        flat, bounds = flat.filter(pa.array(filled)), np.r_[0, np.cumsum(filled)][bounds]
+    coded = flat.dictionary_encode()
+    distinct = coded.dictionary.to_pylist()
+    known = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
+    return known[coded.indices.to_numpy(zero_copy_only=False)], bounds
+
+
+def batch_shingles(texts: list[str], size: int = WORDS) -> list[np.ndarray]:
+    """Sorted 64-bit hashes of the distinct shingles of each text."""
+    if not texts:
+        return []
+    w, bounds = word_hashes([t.encode() for t in texts])
+
+    def rolled(w: np.ndarray, span: int) -> np.ndarray:
+        h = np.full(max(0, len(w) - span + 1), span, np.uint64)
+        for k in range(span if len(h) else 0):
+            h = h * _P + w[k : len(w) - span + 1 + k]
+        h ^= h >> np.uint64(29)
+        h *= _Q
+        return h ^ h >> np.uint64(32)
+
+    whole = rolled(w, size)
+    pairs = zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
+    return [np.unique(whole[a : b - size + 1] if b - a >= size else rolled(w[a:b], b - a)) if b > a else w[:0] for a, b in pairs]
 
 
 def shingles(text: str, size: int = WORDS) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles."""
-    words = text.encode().translate(_LOWER).split()
-    w = np.fromiter(map(_HASH.__getitem__, words), np.uint64, len(words))
-    if not len(w):
-        return w
-    span = min(size, len(w))
-    h = np.full(len(w) - span + 1, span, np.uint64)
-    for k in range(span):
-        h = h * _P + w[k : len(w) - span + 1 + k]
-    h ^= h >> np.uint64(29)
-    h *= _Q
-    h ^= h >> np.uint64(32)
-    return np.unique(h)
+    return batch_shingles([text], size)[0]
 
 
 def band_keys(found: np.ndarray) -> np.ndarray:
@@ -107,14 +120,14 @@ def profiles(docs: DataFrame, sampled: float = 0.0) -> DataFrame:
     most = int(sampled * float(1 << 63))
 
     def step(columns, texts):
-        found = [shingles(t) for t in texts]
+        found = batch_shingles(texts)
         data = [f.tobytes() for f in found]
         d1, d2 = zip(*map(_digest, data), strict=True) if found else ((), ())
         chosen = [d if len(d) and (x & (1 << 63) - 1) < most else None for d, x in zip(data, d1, strict=True)]
         bands = pa.array([band_keys(f) if len(f) else None for f in found], pa.list_(pa.int64()))
         return pa.RecordBatch.from_pydict({"doc_id": pa.array(columns[0], pa.int64()), "n_shingles": pa.array([len(f) for f in found], pa.int64()), "d1": pa.array(d1, pa.int64()), "d2": pa.array(d2, pa.int64()), "bands": bands, "sampled": pa.array(chosen, pa.binary())})
 
-    return shared.text_map(docs, ["doc_id"], step, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sampled binary", "words")
+    return shared.text_map(docs, ["doc_id"], step, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sampled binary")
 
 
 def _digest(data: bytes) -> list[int]:
@@ -180,11 +193,10 @@ def prefixes(docs: DataFrame, classes: DataFrame, common: np.ndarray, parts: int
         return pa.RecordBatch.from_arrays([pa.array(by[heads].astype(np.int64)), *[pa.array([c[a:b].tobytes() for a, b in zip(heads, stops, strict=True)], pa.binary()) for c in cut]], ["part", *[f"c{k}" for k in range(len(cut))]])
 
     def entries(batches):
-        for batch in shared.small_batches(shared.steady(batches, "words")):
+        for batch in shared.small_batches(shared.steady(batches)):
             ids, component, d1, d2, texts = (c.to_pylist() for c in batch.columns)
             out, direct = [], []
-            for i, k, x, y, text in zip(ids, component, d1, d2, texts, strict=True):
-                found = shingles(text or "")
+            for i, k, x, y, found in zip(ids, component, d1, d2, batch_shingles([t or "" for t in texts]), strict=True):
                 n = len(found)
                 if not n or (x is not None and _digest(found.tobytes()) != [x, y]):
                     continue
@@ -327,12 +339,12 @@ def compared(docs: DataFrame, members: DataFrame) -> DataFrame:
     members = shared.staged(members, "buckets")
 
     def sets(columns, texts):
-        found = [shingles(t).tobytes() for t in texts]
+        found = [f.tobytes() for f in batch_shingles(texts)]
         d1, d2 = zip(*map(_digest, found), strict=True) if found else ((), ())
         return pa.RecordBatch.from_pydict({"rep": pa.array(columns[0], pa.int64()), "d1": pa.array(d1, pa.int64()), "d2": pa.array(d2, pa.int64()), "set": pa.array(found, pa.binary())})
 
     wanted = shared.rows_with(docs.select(F.col("doc_id").alias("rep"), "text").where("rep IS NOT NULL"), members.select("rep").distinct(), "rep")
-    found = shared.text_map(wanted, ["rep"], sets, "rep long, d1 long, d2 long, set binary", "words").where(F.length("set") > 0)
+    found = shared.text_map(wanted, ["rep"], sets, "rep long, d1 long, d2 long, set binary").where(F.length("set") > 0)
     found = found.groupBy("rep").agg(F.min(F.struct("d1", "d2", "set")).alias("own")).select("rep", "own.set")
     rows = members.join(found, "rep").select("bucket", "rep", "component", "set", F.length("set").alias("size"))
 
@@ -369,7 +381,7 @@ def classified(docs: DataFrame, block: int = BLOCK_SHINGLES) -> DataFrame:
     some = shared.staged(some, "shingle-nodes")
     folded = shared.staged(some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("other"), F.first("n").alias("n"), F.first("bands").alias("bands")), "shingle-classes")
     banded = folded.select("rep", "n", F.col("rep").alias("component"), F.explode("bands").alias("key"))
-    groups = shared.staged(components(compared(docs, buckets(banded, False, block))), "classes-first")
+    groups = shared.staged(components(compared(docs, buckets(banded, False, min(block, FIRST_BLOCK)))), "classes-first")
 
     copies = folded.where("rep < other").select("d1", "d2", "rep")
     copies = shared.staged(some.select("doc_id", "d1", "d2").join(copies, ["d1", "d2"]).where("rep <> doc_id").select("doc_id", "rep"), "shingle-copies")
@@ -409,8 +421,8 @@ def representatives(docs: DataFrame) -> DataFrame:
     packed = shared.rows_with(kept.select("doc_id", F.struct("*").alias("_row"), "text"), repeated, "doc_id")
 
     def digested(batches):
-        for batch in shared.small_batches(shared.steady(batches, "words")):
-            d = [_digest(f.tobytes()) + [not len(f)] for f in (shingles(t or "") for t in batch.column(2).to_pylist())]
+        for batch in shared.small_batches(shared.steady(batches)):
+            d = [_digest(f.tobytes()) + [not len(f)] for f in batch_shingles([t or "" for t in batch.column(2).to_pylist()])]
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array([x[k] for x in d], t) for k, t in ((2, pa.bool_()), (0, pa.int64()), (1, pa.int64()))]], ["doc_id", "_row", "text", "bare", "d1", "d2"])
 
     schema = packed.withColumn("bare", F.lit(False)).withColumn("d1", F.lit(0).cast("long")).withColumn("d2", F.lit(0).cast("long")).schema
