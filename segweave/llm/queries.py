@@ -103,7 +103,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM h L
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, source, len({_WORDS}) AS size,
     ('0x' || substr(md5(coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 13))::BIGINT AS draw FROM documents),
-s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, sum(size)::DOUBLE / count(*)::DOUBLE AS mean FROM d GROUP BY source),
 w AS (
   SELECT *, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w, 2 * source_size AS cap FROM s),
 o AS (
@@ -112,12 +112,14 @@ o AS (
   WINDOW b AS (ORDER BY cap::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 a AS (SELECT min(k) AS k0, arg_min(level, k) AS level0 FROM o WHERE level * w < cap),
 t AS (
-  SELECT source, source_size, CASE WHEN k0 IS NULL OR k < k0 THEN cap::DOUBLE ELSE level0 * w END AS target FROM o, a),
+  SELECT source, source_size, mean, CASE WHEN k0 IS NULL OR k < k0 THEN cap::DOUBLE ELSE level0 * w END AS target FROM o, a),
 g AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS copies FROM t),
-q AS (
+p AS (
   SELECT d.*, g.source_size, g.target, g.copies, g.target - g.copies * g.source_size AS need,
-    sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw) AS upto
-  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+    (d.draw::DOUBLE + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u,
+    least(2::DOUBLE, greatest(0.5::DOUBLE, CASE WHEN mean > 0 THEN d.size::DOUBLE / mean ELSE 1::DOUBLE END)) AS odds
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+q AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY u / (1 - u) / odds) AS upto FROM p)
 SELECT doc_id, size, source_size, target,
   (size * (copies + CASE WHEN need > 0 AND upto - size / 2.0::DOUBLE <= need THEN 1 ELSE 0 END))::BIGINT AS taken FROM q""",
     "op8_embedding_dedup": r"""
