@@ -1,8 +1,11 @@
 """Embedding near-dedup by PCA-ordered tiled comparison.
 
 Vectors are normalised in double precision and turned into the corpus's
-principal axes. They are dealt into blocks along the first axis; two blocks meet in a tile
-only if their ranges there are near enough for the threshold. In a tile the
+principal axes. Vectors whose cosine reaches the threshold are no farther apart
+than `reach` on any axis, so they are dealt into cells of that width on the three leading
+axes and, within a cell, into blocks along a Hilbert curve; a block meets those
+of its own and the neighbouring cells, unless their boxes on the leading axes are too far apart.
+Where two blocks meet, a tile, the
 products of the leading axes are summed first; the rest of a product is at
 most the product of the suffix norms, so a pair whose partial sum and bound stay
 below the threshold is done. Pairs that survive all steps are decided by the
@@ -10,25 +13,33 @@ plain cosine in double precision.
 
 Equal vectors are first folded to one row with their number, so a group of copies of any size
 is one row of a tile. A tile returns a count of links for each of its rows and a spanning
-forest of its links, never all pairs. Null and zero vectors, those with null or
-non-finite components and those of another length than most (ties: the
-longer) link with nothing. Rows that share vec_id and vector are one; where
+forest of its links, never all pairs. Null and zero vectors and those with null or
+non-finite components link with nothing; vectors of different lengths don't
+link with each other. The axes are those of the most common length (ties: the longer);
+vectors of other lengths are compared in their own coordinates. Long vectors make
+smaller blocks. Rows that share vec_id and vector are one; where
 vectors differ under one vec_id, it shows its largest number of links and least
 component. A null vec_id has null results. An empty table gives no row; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
 from .components import Union, components
+from .packing import hilbert_keys
 
-#: Rows of a block, and axes summed between two looks at the bound.
-BLOCK, STEPS = 2048, (8, 16, 32)
+#: Rows and components of a block, and axes summed between two looks at the bound.
+BLOCK, BLOCK_VALUES, STEPS = 2048, 1 << 18, (8, 16, 32)
+#: Axes that make cells, that make the curve in a cell, and that make a block's box.
+CELL_AXES, CURVE_AXES, BOX_AXES = 3, 4, 16
 #: Rows of the sample that gives the axes; any axes are right, these prune well.
 AXIS_ROWS = 4096
 _SLACK = 1e-9
@@ -67,9 +78,9 @@ def survivors(x: np.ndarray, y: np.ndarray, threshold: float, steps: tuple[int,
     return i, j
 
 
-def tile(x: np.ndarray, y: np.ndarray, turn: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs of rows of x and y, each once; x and y are unit vectors in the given components."""
-    i, j = survivors(x @ turn, y @ turn, threshold)
+def tile(x: np.ndarray, y: np.ndarray, turned: Callable[[np.ndarray], np.ndarray], threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Linked pairs of rows of x and y, each once; x and y are unit vectors in the given components, turned(x) in principal axes."""
+    i, j = survivors(turned(x), turned(y), threshold)
     if same:
         i, j = i[i < j], j[i < j]
     good = np.concatenate([np.einsum("ij,ij->i", x[i[lo : lo + 65536]], y[j[lo : lo + 65536]]) >= threshold for lo in range(0, len(i), 65536)] or [np.zeros(0, bool)])
@@ -82,65 +93,74 @@ def linked(embeddings: DataFrame, threshold: float = 0.95) -> DataFrame:
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     usable = embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite & F.exists("embedding", lambda v: v != 0))
     sizes = usable.groupBy(F.size("embedding").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("size")).limit(1).collect()
-    width = sizes[0]["size"] if sizes else 0
-    usable = usable.where(F.size("embedding") == width)
-    folded = shared.staged(usable.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("n")), "vectors")
-    sample = folded.orderBy(F.xxhash64("rep"), "rep").limit(AXIS_ROWS).collect()
-    if not sample:
+    if not sizes:
         nothing = F.when(F.col("vec_id").isNotNull(), F.lit(0).cast("long"))
         return embeddings.select("vec_id", nothing.alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
+    folded = shared.staged(usable.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("n")), "vectors")
+    sample = folded.where(F.size("embedding") == sizes[0]["size"]).orderBy(F.xxhash64("rep"), "rep").limit(AXIS_ROWS).collect()
     turn = axes(units([r["embedding"] for r in sample]))
-    lead, reach = turn[:, 0], float(np.sqrt(max(0.0, 2 - 2 * threshold))) + _SLACK
+    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + _SLACK
+    cell = max(reach, 1e-3)
+
+    def turned(x: np.ndarray) -> np.ndarray:
+        return x @ turn if x.shape[1] == len(turn) else x
 
     def placed(batches):
         for batch in batches:
-            x = units(batch.column(0).to_pylist()) if batch.num_rows else np.zeros((0, width))
-            yield pa.RecordBatch.from_arrays([pa.array((x @ lead * (1 << 40)).astype(np.int64)), batch.column(1), batch.column(2), pa.array([r.tobytes() for r in x], pa.binary())], ["along", "rep", "n", "unit"])
-
-    rows = shared.staged(folded.mapInArrow(placed, "along long, rep long, n long, unit binary"), "vectors-placed")
-    total = rows.count()
-    bounds = shared.spread(rows, "along", -(-total // BLOCK))
+            width = pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False)
+            for w in np.unique(width).tolist():
+                own = batch.filter(pa.array(width == w))
+                x = units(own.column(0).to_pylist())
+                lead = np.zeros((len(x), CURVE_AXES))
+                lead[:, : min(w, CURVE_AXES)] = turned(x)[:, :CURVE_AXES]
+                cells = np.floor(lead[:, :CELL_AXES] / cell).astype(np.int32)
+                along = hilbert_keys(np.clip((lead + 1) * 2048, 0, 4095).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), w, np.int32)), *map(pa.array, cells.T), pa.array(along), own.column(1), own.column(2), pa.array([r.tobytes() for r in x], pa.binary())], ["width", "c0", "c1", "c2", "along", "rep", "n", "unit"])
+
+    where = ["width", "c0", "c1", "c2"]
+    rows = shared.staged(folded.mapInArrow(placed, "width int, c0 int, c1 int, c2 int, along long, rep long, n long, unit binary"), "vectors-placed")
 
     def blocks(batches):
-        edges, held, now = np.array(bounds, np.int64), [], None
-
-        def full():
-            along, rep, n, unit = zip(*held, strict=True)
-            return {"low": min(along) / (1 << 40), "high": max(along) / (1 << 40), "reps": np.array(rep, "<i8").tobytes(), "counts": np.array(n, "<i8").tobytes(), "units": b"".join(unit)}
+        def full(held):
+            at, rep, n, unit = held[0][:4], *([h[k] for h in held] for k in (5, 6, 7))
+            lead = turned(np.frombuffer(b"".join(unit), np.float64).reshape(len(unit), -1))[:, :BOX_AXES]
+            return {**dict(zip(where, at, strict=True)), "low": lead.min(0).tolist(), "high": lead.max(0).tolist(), "reps": np.array(rep, "<i8").tobytes(), "counts": np.array(n, "<i8").tobytes(), "units": b"".join(unit)}
 
+        held = []
         for batch in batches:
-            out = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                part = int(np.searchsorted(edges, row[0], "right"))
-                if held and (part != now or len(held) >= 2 * BLOCK):
-                    out.append(full())
+                if held and (row[:4] != held[0][:4] or len(held) >= min(BLOCK, max(16, BLOCK_VALUES // row[0]))):
+                    yield pa.RecordBatch.from_pylist([full(held)], _block)
                     held = []
                 held.append(row)
-                now = part
-            if out:
-                yield pa.RecordBatch.from_pylist(out, _block)
         if held:
-            yield pa.RecordBatch.from_pylist([full()], _block)
-
-    _block = pa.schema([("low", pa.float64()), ("high", pa.float64()), ("reps", pa.binary()), ("counts", pa.binary()), ("units", pa.binary())])
-    ordered = rows.repartitionByRange(max(1, min(len(bounds) + 1, shared.partitions(spark))), "along", "rep").sortWithinPartitions("along", "rep")
-    named = shared.staged(ordered.mapInArrow(blocks, "low double, high double, reps binary, counts binary, units binary").withColumn("block", F.monotonically_increasing_id()), "vector-blocks")
-    # blocks in the order of the first axis: those within reach of one follow it without a gap
-    order = sorted(named.select("low", "high", "block").collect())
-    lows = np.array([r[0] for r in order])
-    spans = [(r[2], k, int(np.searchsorted(lows, r[1] + reach, "right"))) for k, r in enumerate(order)]
-    tags = spark.createDataFrame(spans, "block long, k int, stop int")
-    tagged = shared.staged(named.join(F.broadcast(tags) if len(spans) <= 100_000 else tags, "block").drop("block", "low", "high"), "vector-blocks")
-    left = tagged.select("k", F.explode(F.sequence("k", F.col("stop") - 1)).alias("other"), *[F.col(c).alias(f"x_{c}") for c in ("reps", "counts", "units")])
-    pairs = left.join(tagged.select(F.col("k").alias("other"), *[F.col(c).alias(f"y_{c}") for c in ("reps", "counts", "units")]), "other")
+            yield pa.RecordBatch.from_pylist([full(held)], _block)
+
+    _block = pa.schema([*[(c, pa.int32()) for c in where], *[(c, pa.list_(pa.float64())) for c in ("low", "high")], *[(c, pa.binary()) for c in ("reps", "counts", "units")]])
+    to = max(1, min(-(-rows.count() // BLOCK), shared.partitions(spark)))
+    ordered = rows.repartitionByRange(to, *where, "along", "rep").sortWithinPartitions(*where, "along", "rep")
+    named = "width int, c0 int, c1 int, c2 int, low array<double>, high array<double>, reps binary, counts binary, units binary"
+    named = shared.staged(ordered.mapInArrow(blocks, named).withColumn("block", F.monotonically_increasing_id()), "vector-blocks")
+    # each two blocks of one cell or of neighbouring ones meet once
+    boxes = named.select("block", *where, "low", "high")
+    steps = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) >= (0, 0, 0)]
+    near = F.explode(F.array(*[F.struct(*[F.lit(v).alias(f"d{a}") for a, v in enumerate(step)]) for step in steps]))
+    left = boxes.select(F.col("block").alias("k"), "width", *[F.col(f"c{a}").alias(f"b{a}") for a in range(3)], F.col("low").alias("x_low"), F.col("high").alias("x_high"), near.alias("d"))
+    left = left.select("k", "width", *[(F.col(f"b{a}") + F.col(f"d.d{a}")).alias(f"c{a}") for a in range(3)], F.expr("d.d0 <> 0 OR d.d1 <> 0 OR d.d2 <> 0").alias("apart"), "x_low", "x_high")
+    gap = F.zip_with(F.zip_with("x_low", "high", lambda a, b: a - b), F.zip_with("low", "x_high", lambda a, b: a - b), lambda a, b: F.greatest(a, b, F.lit(0.0)))
+    far = F.aggregate(gap, F.lit(0.0), lambda total, g: total + g * g) > reach * reach + _SLACK
+    met = left.join(boxes.withColumnRenamed("block", "other"), where).where((F.col("apart") | (F.col("k") <= F.col("other"))) & ~far)
+    met = shared.staged(met.select("k", "other"), "vector-tiles")
+    data = lambda key, side: named.select(F.col("block").alias(key), *[F.col(c).alias(f"{side}_{c}") for c in ("reps", "counts", "units")])
+    pairs = met.join(data("k", "x"), "k").join(data("other", "y"), "other")
 
     def compared(batches):
         for batch in batches:
             for r in batch.to_pylist():
                 rep_x, n_x, rep_y, n_y = (np.frombuffer(r[c], "<i8") for c in ("x_reps", "x_counts", "y_reps", "y_counts"))
-                x, y = (np.frombuffer(r[c], np.float64).reshape(-1, width) for c in ("x_units", "y_units"))
+                x, y = (np.frombuffer(r[f"{side}_units"], np.float64).reshape(len(reps), -1) for side, reps in (("x", rep_x), ("y", rep_y)))
                 same = r["k"] == r["other"]
-                i, j = tile(x, y, turn, threshold, same)
+                i, j = tile(x, y, turned, threshold, same)
                 shift = 0 if same else len(x)
                 links = np.zeros(shift + len(y), np.int64)
                 np.add.at(links, i, n_y[j])

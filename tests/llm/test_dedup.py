@@ -155,6 +155,24 @@ def test_embeddings_match_brute_force(spark):
     assert embedding_dedup.linked(df.limit(0)).collect() == [] and len(embedding_dedup.linked(df.where("vec_id > 900")).collect()) == 6
 
 
+def test_embeddings_of_several_lengths_and_blocks(spark):
+    r = np.random.default_rng(4)
+    base = r.normal(size=(60, 12)) * np.geomspace(3, 0.3, 12)
+    x = [v.tolist() for k in range(40) for v in base + r.normal(size=base.shape) * 0.15] + [[1.0, 2.0, 3.0], [1.0, 2.0, 3.0], [1.0, 2.0, 3.01], [3.0, -1.0], [6.0, -2.0], [5.0], [2.0], [-2.0]]
+    u = [np.array(v) / np.linalg.norm(v) for v in x]
+    same = np.array([len(v) for v in x])
+    cosine = np.full((len(x), len(x)), -1.0)
+    for w in set(same.tolist()):
+        at = np.flatnonzero(same == w)
+        m = np.stack([u[i] for i in at])
+        cosine[np.ix_(at, at)] = m @ m.T
+    np.fill_diagonal(cosine, -1)
+    assert not ((cosine > 0.95 - 1e-9) & (cosine < 0.95 + 1e-9)).any()
+    top = least(range(len(x)), list(zip(*np.nonzero(cosine >= 0.95), strict=True)))
+    got = embedding_dedup.linked(spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>").repartition(5))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == {i: (int((cosine[i] >= 0.95).sum()), top[i]) for i in range(len(x))}
+
+
 def test_suffix_bounds_lose_nothing():
     r = np.random.default_rng(5)
     x = r.normal(size=(300, 48)) * np.geomspace(3, 0.1, 48)
