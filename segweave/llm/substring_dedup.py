@@ -17,8 +17,9 @@ meet their own list of marks once.
 
 Null texts stay null and rows with null doc_id stay whole and own nothing.
 Rows that share a doc_id are seen as one document: they don't cut each other, and
-each is cut where any other document owns the chunk. An empty table gives no
-row. Extra columns are carried along.
+each is cut where any other document owns the chunk. A text of any length is
+chunked whole. An empty table gives no row. Extra columns are carried along whatever
+their names; only an input column `cut_spans` gives way to the operator's.
 """
 
 from __future__ import annotations
@@ -128,9 +129,9 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return shared.text_map(docs.where("doc_id IS NOT NULL"), ["doc_id"], step, "digest long, doc_id long")
 
 
-def owned(docs: DataFrame) -> DataFrame:
-    """digest and owner (least doc_id) of the chunks that several documents hold."""
-    found = occurrences(docs).groupBy("digest").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other"))
+def owned(found: DataFrame) -> DataFrame:
+    """digest and owner (least doc_id) of the chunks that several documents hold, from their occurrences."""
+    found = found.groupBy("digest").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other"))
     return found.where("owner < other").select("digest", "owner")
 
 
@@ -163,25 +164,31 @@ def without(text: bytes, cuts: list[tuple[int, int]]) -> bytes:
 
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with cut texts (n_chars, if there, follows), and the column cut_spans of the byte ranges that went."""
-    owners = shared.staged(owned(docs), "chunk-owners")
-    marks = occurrences(docs).join(owners, "digest").where("owner < doc_id").groupBy("doc_id").agg(F.collect_set("digest").alias("_marks"))
+    docs = docs.drop("cut_spans")
+    found = shared.staged(occurrences(docs), "chunks")
+    owners = shared.staged(owned(found), "chunk-owners")
+    marks = found.join(owners, "digest").where("owner < doc_id").groupBy("doc_id").agg(F.collect_set("digest").alias("marks"))
     names = docs.columns
-    schema = docs.select("*").withColumn("cut_spans", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end")))).schema
+    spans_type = "array<struct<start: bigint, end: bigint>>"
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
         at = names.index("text")
-        for batch in shared.small_batches(shared.steady(batches)):
-            texts, marked, ids = batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), batch.column(names.index("doc_id")).to_pylist()
-            raw = [_bytes(t) for t in texts]
-            cuts = [spans(t, rows, set(m or ()), min_words) if i is not None else [] for t, rows, m, i in zip(raw, chunks(raw, most=MOST_WORDS), marked, ids, strict=True)]
-            kept = [t if not c else without(t.encode(), c).decode() for t, c in zip(texts, cuts, strict=True)]
-            columns = list(batch.columns[: len(names)])
-            columns[at] = pa.array(kept, pa.string())
-            if "n_chars" in names:
-                k = names.index("n_chars")
-                columns[k] = pa.array([n if not c else len(t) for n, c, t in zip(columns[k].to_pylist(), cuts, kept, strict=True)], columns[k].type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([[{"start": a, "end": b} for a, b in c] for c in cuts], span)], [*names, "cut_spans"])
-
-    marked = docs.alias("d").join(marks.withColumnRenamed("doc_id", "_id"), F.col("d.doc_id") == F.col("_id"), "left").select("d.*", "_marks")
-    return marked.mapInArrow(run, schema)
+        for whole in batches:
+            flat = pa.RecordBatch.from_arrays([*whole.column(0).flatten(), whole.column(1)], [*map(str, range(len(names))), "marks"])
+            for batch in shared.small_batches(shared.steady(iter([flat])), str(at)):
+                texts, marked, ids = batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), batch.column(names.index("doc_id")).to_pylist()
+                raw = [_bytes(t) for t in texts]
+                cuts = [spans(t, rows, set(m or ()), min_words) if i is not None else [] for t, rows, m, i in zip(raw, chunks(raw, most=MOST_WORDS), marked, ids, strict=True)]
+                kept = [t if not c else without(t.encode(), c).decode() for t, c in zip(texts, cuts, strict=True)]
+                columns = list(batch.columns[: len(names)])
+                columns[at] = pa.array(kept, pa.string())
+                if "n_chars" in names:
+                    k = names.index("n_chars")
+                    columns[k] = pa.array([n if not c else len(t) for n, c, t in zip(columns[k].to_pylist(), cuts, kept, strict=True)], columns[k].type)
+                yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(columns, names), pa.array([[{"start": a, "end": b} for a, b in c] for c in cuts], span)], ["row", "cut_spans"])
+
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"))
+    marked = rows.join(marks, F.col("id") == F.col("doc_id"), "left").select("row", "marks")
+    schema = rows.select("row").withColumn("cut_spans", F.lit(None).cast(spans_type)).schema
+    return marked.mapInArrow(run, schema).select("row.*", "cut_spans")

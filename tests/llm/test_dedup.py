@@ -262,3 +262,38 @@ def test_substring_edges(docs, nasty):
     p = passage(random.Random(1), 50)
     repeated = substring_dedup.deduplicated(docs([(1, p + " " + p), (2, None)])).where("doc_id = 1").first()
     assert len(repeated.text) < 1.3 * len(p)
+
+
+def test_cuts_match_a_plain_run(docs):
+    """Owners, marks and cuts of all documents at once, without Spark."""
+    r = random.Random(12)
+    shared = [passage(r, n) for n in (30, 60, 90)]
+    rows = [(i, " ".join([passage(r, 20), shared[i % 3], passage(r, 15), r.choice(shared), r.choice(["", "\n"]), passage(r, 9)])) for i in range(40)]
+    rows += [(50, shared[0]), (51, shared[0] + " " + shared[0]), (7, rows[3][1]), (52, None), (None, shared[1])]
+    raw = [(d, (t or "").encode()) for d, t in rows]
+    cut = substring_dedup.chunks([t for _, t in raw], most=substring_dedup.MOST_WORDS)
+    keys = [substring_dedup.digests(t, c) for (_, t), c in zip(raw, cut, strict=True)]
+    owner = {}
+    for (d, _), ks in zip(raw, keys, strict=True):
+        for k in ks if d is not None else []:
+            owner[k] = min(owner.get(k, d), d)
+    want = []
+    for (d, t), ks, c in zip(raw, keys, cut, strict=True):
+        gone, first = [], set()
+        for k, (a, b, n) in zip(ks, c.tolist(), strict=True):
+            gone.append((d is not None and (owner[k] < d or k in first), a, b, n))
+            first.add(k)
+        out, at, i = b"", 0, 0
+        while i < len(gone):
+            j = i
+            while j < len(gone) and gone[j][0]:
+                j += 1
+            if j > i and sum(g[3] for g in gone[i:j]) >= substring_dedup.MIN_WORDS:
+                out, at = out + t[at : gone[i][1]], gone[j - 1][2]
+            i = max(j, i + 1)
+        want.append((d, (out + t[at:]).decode()))
+    df = docs(rows).selectExpr("*", "1 AS cut_spans", "2 AS _marks", "3 AS _id", "4 AS id", "5 AS row", "6 AS digest", "7 AS marks")
+    got = substring_dedup.deduplicated(df)
+    assert sorted(got.columns) == sorted(df.columns)
+    assert sorted([(x.doc_id, x.text or "") for x in got.collect()], key=str) == sorted(want, key=str)
+    assert sum(len(t) for _, t in want) < 0.7 * sum(len(t or "") for _, t in rows)
