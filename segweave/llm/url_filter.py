@@ -7,10 +7,12 @@ strings themselves in key order. Executors map that file into memory; a page's
 candidate strings (each suffix of its host with each prefix of its path that
 has the length of some rule's path) are hashed, probed by vectorised binary
 search, and a hit counts only if the stored string equals the candidate, so
-colliding keys do no harm. The longest rule that fits wins; pages that no rule
+colliding keys do no harm. No host suffix has more labels than the longest rule's host, so
+the candidates of a URL stay few however long it is. The longest rule that fits wins; pages that no rule
 fits are allowed.
 
 Null URLs and those without ``://`` have empty host and path and fit no rule.
+URLs of any length are judged whole, in batches of bounded bytes.
 Repeated rows are judged each on its own, an empty table gives no row, extra
 columns are ignored.
 """
@@ -45,7 +47,7 @@ def pack_rules(rules: dict[str, str]) -> bytes:
     blocked = np.array([list(rules.values())[i] == "block" for i in order], np.uint8)
     out = io.BytesIO()
     out.write(_MAGIC.ljust(8, b"\0"))
-    out.write(np.array([len(keys), len(lengths)], np.uint64).tobytes())
+    out.write(np.array([len(keys), len(lengths), max((r.partition("/")[0].count(".") + 1 for r in rules), default=0)], np.uint64).tobytes())
     for part in (keys[order], ends, lengths, blocked):
         out.write(part.tobytes())
     out.write(b"".join(text[i] for i in order))
@@ -59,11 +61,11 @@ class DigestArray:
         data = np.memmap(path, np.uint8, "r")
         if bytes(data[:4]) != _MAGIC:
             raise ValueError(f"{path} is no rule file")
-        n, k = data[8:24].view(np.uint64).tolist()
-        self.keys = data[24 : 24 + 8 * n].view(np.uint64)
-        self.ends = data[24 + 8 * n : 24 + 16 * n].view(np.uint64)
-        self.lengths = data[24 + 16 * n : 24 + 16 * n + 8 * k].view(np.uint64).tolist()
-        at = 24 + 16 * n + 8 * k
+        n, k, self.labels = data[8:32].view(np.uint64).tolist()
+        self.keys = data[32 : 32 + 8 * n].view(np.uint64)
+        self.ends = data[32 + 8 * n : 32 + 16 * n].view(np.uint64)
+        self.lengths = data[32 + 16 * n : 32 + 16 * n + 8 * k].view(np.uint64).tolist()
+        at = 32 + 16 * n + 8 * k
         self.blocked, self.text = data[at : at + n], data[at + n :]
 
     def stored(self, i: int) -> bytes:
@@ -83,7 +85,7 @@ class DigestArray:
 
     def candidates(self, host: str, path: str) -> list[str]:
         """Strings of rules that would fit, the longest first."""
-        labels = host.split(".")
+        labels = host.rsplit(".", self.labels)[-self.labels :] if self.labels else []
         hosts = [".".join(labels[i:]) for i in range(len(labels))]
         return sorted((h + path[: int(n)] for h in hosts for n in self.lengths if n <= len(path)), key=len, reverse=True)
 
@@ -106,7 +108,7 @@ def url_verdicts(pages: DataFrame, rules: dict[str, str]) -> DataFrame:
         if name not in _OPEN:
             _OPEN[name] = DigestArray(SparkFiles.get(name))
         array = _OPEN[name]
-        for batch in batches:
+        for batch in shared.small_batches(shared.small_batches(batches, "host"), "path"):
             hosts, paths = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             candidates = [array.candidates(h, p) for h, p in zip(hosts, paths, strict=True)]
             flat = list({c for cs in candidates for c in cs})

@@ -28,6 +28,14 @@ def test_cases(spark):
     assert u.url_verdicts(pages.limit(0), URL_RULES).collect() == []
 
 
+def test_long_urls_and_repeated_rows(spark, tmp_path):
+    host, path = ".".join(["a"] * 40_000) + ".net", "/" + "b" * 300_000
+    pages = spark.createDataFrame([(1, f"s://{host}{path}"), (1, f"s://{host}{path}"), (2, "s://" + "c" * 100_000 + "/")], "page_id long, url string")
+    assert sorted((r.page_id, len(r.host), len(r.path), r.verdict) for r in u.url_verdicts(pages, URL_RULES).collect()) == [(1, len(host), len(path), "block")] * 2 + [(2, 100_000, 1, "allow")]
+    (tmp_path / "rules").write_bytes(u.pack_rules(URL_RULES))
+    assert len(u.DigestArray(str(tmp_path / "rules")).candidates(host, path)) <= 2 * len({len(r.partition("/")[2]) for r in URL_RULES})
+
+
 def test_colliding_keys_are_confirmed(tmp_path, monkeypatch):
     import xxhash
 
@@ -42,4 +50,4 @@ def test_colliding_keys_are_confirmed(tmp_path, monkeypatch):
 def test_bad_rules():
     with pytest.raises(ValueError):
         u.pack_rules({"net": "block"})
-    assert len(u.pack_rules({})) == 24
+    assert len(u.pack_rules({})) == 32
