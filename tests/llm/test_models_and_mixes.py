@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import zlib
@@ -35,6 +36,30 @@ def test_language_id_on_held_out_rows(docs):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_scores_match_dense_kernel_ridge():
+    r = random.Random(2)
+    rows = [(say(r, lang, r.randrange(1, 40)) + r.choice(["", " É ß", "!"]), lang) for lang in ("aa", "cc") for _ in range(30)]
+    texts = [t for t, _ in rows] + ["", "zzz 999", "Qq", rows[0][0] * 3]
+
+    def spectrum(t):
+        return {t.lower()[i : i + n] for n in (1, 2, 3) for i in range(len(t.lower()) - n + 1)}
+
+    def kernel(a, b):
+        a, b = spectrum(a), spectrum(b)
+        return len(a & b) / math.sqrt(max(1, len(a)) * max(1, len(b)))
+
+    marks = [rows[k // 2 + 30 * (k % 2)][0] for k in range(20)]
+    k = np.array([[kernel(t, m) for m in marks] for t in texts])
+    value, vector = np.linalg.eigh(np.array([[kernel(a, b) for b in marks] for a in marks]))
+    z = k @ (vector[:, value > 1e-6 * value[-1]] / np.sqrt(value[value > 1e-6 * value[-1]]))
+    y = np.array([[1.0 if lang == x else -1.0 for x in ("aa", "cc")] for _, lang in rows])
+    fitted, middle = z[:60], z[:60].mean(0)
+    beta = np.linalg.solve((fitted - middle).T @ (fitted - middle) + 0.1 * np.eye(z.shape[1]), (fitted - middle).T @ (y - y.mean(0)))
+    model = language_id.fit(rows, landmarks=20)
+    assert np.allclose(model.scores(texts), (z - middle) @ beta + y.mean(0), atol=1e-5)
+    assert model.predict(["²½ 12", "ʰ", None, ""])[0][0] == "und" and model.predict(["ª"])[0][0] != "und"
+
+
 def test_labels_of_held_out_rows_are_never_learned(docs):
     rows = corpus(2, 60)
     wrong = [(i, t, "zz" if zlib.crc32(str(i).encode()) % 3 == 1 else lang) for i, t, lang in rows]
