@@ -74,8 +74,8 @@ def gram_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(row.astype(np.uint16) if len(group) < 1 << 16 else row, kind="stable")  # 16 bits are sorted by radix
         code, ends = code[order], np.cumsum(np.bincount(row, minlength=len(group)))
         for k, (a, b) in enumerate(zip(np.r_[0, ends[:-1]], ends, strict=True)):
-            parts[rows[k]].append(np.unique(code[a:b]))
-    sets = [p[0] if len(p) == 1 else np.unique(np.concatenate(p)) if p else np.zeros(0, np.uint64) for p in parts]
+            parts[rows[k]].append(shared.distinct(code[a:b]))
+    sets = [p[0] if len(p) == 1 else shared.distinct(np.concatenate(p)) if p else np.zeros(0, np.uint64) for p in parts]
     return np.concatenate([np.zeros(0, np.uint64), *sets]), np.r_[0, np.cumsum([len(s) for s in sets], dtype=np.int64)]
 
 

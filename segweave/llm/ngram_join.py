@@ -93,7 +93,7 @@ def batch_shingles(texts: list[str], size: int = WORDS) -> list[np.ndarray]:
 
     whole = rolled(w, size)
     pairs = zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
-    return [np.unique(whole[a : b - size + 1] if b - a >= size else rolled(w[a:b], b - a)) if b > a else w[:0] for a, b in pairs]
+    return [shared.distinct(whole[a : b - size + 1] if b - a >= size else rolled(w[a:b], b - a)) if b > a else w[:0] for a, b in pairs]
 
 
 def shingles(text: str, size: int = WORDS) -> np.ndarray:
@@ -203,7 +203,7 @@ def prefixes(docs: DataFrame, classes: DataFrame, common: np.ndarray, parts: int
                 at = np.searchsorted(shipped.value, found)
                 often = np.zeros(n, bool) if not len(shipped.value) else shipped.value[np.minimum(at, len(shipped.value) - 1)] == found
                 part = (found >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-                names = np.unique(part[~often] << np.uint64(32) | found[~often] & np.uint64(0xFFFFFFFF))
+                names = shared.distinct(part[~often] << np.uint64(32) | found[~often] & np.uint64(0xFFFFFFFF))
                 out.append((names, i, k, n, n // 4 + 1 - len(names)))
                 if len(names) < n // 4 + 1:
                     direct.append((found[often][: n // 4 + 1 - len(names)], i, k, n, 0))

@@ -68,6 +68,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The sorted distinct values; for numbers faster than numpy's unique, which hashes first."""
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
+
+
 #: What empties each cache that Python workers keep between tasks, by the name of its user.
 CACHES: dict[str, Callable[[], None]] = {}
 
