@@ -55,6 +55,8 @@ SAMPLE_SETS, COMMON_IN, COMMON_MOST = 8192, 16, 100_000
 PART_SHINGLES = 400_000
 #: Bytes with A-Z lower-cased and all white space as spaces.
 _PLAIN = bytes(32 if 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: What a packed row holds: sets with class and numbers, common shingles, others, classes that aren't the sets' own, shingles of several classes.
+_NODE, _DIRECT, _SHINGLE, _CLASS, _SHARED = range(5)
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -154,21 +156,29 @@ def buckets(members: DataFrame, pairwise: bool, block: int = BLOCK_SHINGLES) ->
 
     Buckets of equal members are kept once. Those of more than `block` shingles
     are dealt into blocks; pairwise, each two blocks meet, else each block holds the
-    bucket's least member as well. Counts are aggregated before members move.
+    bucket's least member as well. Pairwise, buckets that overlap are one bucket as
+    long as they hold no more than a block together, so that no set travels twice.
+    Counts are aggregated before members move, and a large bucket's members are dealt by salt.
     """
     members = members.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(shared.partitions(members.sparkSession))))
     part = members.groupBy("key", "salt").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rep")).alias("mix"), F.sum("n").alias("words"), F.min("rep").alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high"))
     whole = part.groupBy("key").agg(F.sum("size").alias("size"), F.bit_xor("mix").alias("mix"), F.sum("words").alias("words"), F.min("pivot").alias("pivot"), F.min("low").alias("low"), F.max("high").alias("high"), F.collect_list("salt").alias("salts"))
     kept = whole.where("size > 1 AND low < high").groupBy("size", "mix", "words", "pivot").agg(F.min(F.struct("key", "salts")).alias("own"))
     kept = kept.select("own.key", "pivot", F.ceil(F.col("words") / block).alias("blocks"), F.explode("own.salts").alias("salt"))
-    found = members.join(kept, ["key", "salt"])  # a large bucket's members are dealt by salt
+    found = members.join(kept, ["key", "salt"])
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks"))
     every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    if pairwise:
-        names = F.transform(every, lambda other: F.xxhash64("key", F.least(mine, other), F.greatest(mine, other)))
-    else:
+    if not pairwise:
         names = F.transform(F.when(F.col("rep") == F.col("pivot"), every).otherwise(F.array(mine)), lambda b: F.xxhash64("key", b))
-    return found.select(F.explode(names).alias("bucket"), "rep", "component")
+        return found.select(F.explode(names).alias("bucket"), "rep", "component")
+    found = shared.staged(found.select("key", "rep", "n", "component", "pivot", "blocks"), "buckets-found")
+    groups = components(found.select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
+    sets = shared.staged(found.select("rep", "n", "component").distinct().join(groups.select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "rep"), "bucket-clusters")
+    large = shared.staged(sets.groupBy("cluster").agg(F.sum("n").alias("words")).where(F.col("words") > block).select("cluster"), "large-clusters")
+    small = sets.join(large, "cluster", "left_anti").select(F.xxhash64(F.lit("cluster"), "cluster").alias("bucket"), "rep", "component")
+    rest = found.join(shared.rows_with(sets, large, "cluster").select("rep"), "rep", "left_semi")
+    names = F.transform(every, lambda other: F.xxhash64("key", F.least(mine, other), F.greatest(mine, other)))
+    return small.unionByName(rest.select(F.explode(names).alias("bucket"), "rep", "component"))
 
 
 def prefixes(docs: DataFrame, classes: DataFrame, common: np.ndarray, parts: int) -> DataFrame:
@@ -184,18 +194,23 @@ def prefixes(docs: DataFrame, classes: DataFrame, common: np.ndarray, parts: int
     rows = rows.join(small.withColumn("known", F.lit(True)), "doc_id", "left").where("known IS NULL OR component IS NOT NULL")
     rows = rows.select("doc_id", F.coalesce("component", "doc_id").alias("component"), "d1", "d2", "text")
 
-    def packed(by: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    def packed(kind: int, by: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+        """A row for each value of `by`, with the bytes of its part of each column."""
         order = np.argsort(by.astype(np.uint16) if parts <= 1 << 16 else by, kind="stable")  # 16 bits are sorted by radix
         by = by[order]
         heads = np.flatnonzero(np.r_[True, by[1:] != by[:-1]]) if len(by) else np.zeros(0, int)
         stops = np.r_[heads[1:], len(by)] if len(by) else heads
-        cut = [c[order] for c in columns]
-        return pa.RecordBatch.from_arrays([pa.array(by[heads].astype(np.int64)), *[pa.array([c[a:b].tobytes() for a, b in zip(heads, stops, strict=True)], pa.binary()) for c in cut]], ["part", *[f"c{k}" for k in range(len(cut))]])
+        cut = [[c[a:b].tobytes() for a, b in zip(heads, stops, strict=True)] for c in (x[order] for x in columns)]
+        cut += [[None] * len(heads)] * (4 - len(cut))
+        return pa.RecordBatch.from_arrays([pa.array(by[heads].astype(np.int64)), pa.array(np.full(len(heads), kind, np.int32)), *[pa.array(c, pa.binary()) for c in cut]], ["part", "kind", "c0", "c1", "c2", "c3"])
+
+    def node_part(rep: np.ndarray) -> np.ndarray:
+        return (rep.view(np.uint64) * _P >> np.uint64(32)).astype(np.int64) % parts
 
     def entries(batches):
         for batch in shared.small_batches(shared.steady(batches)):
             ids, component, d1, d2, texts = (c.to_pylist() for c in batch.columns)
-            out, direct = [], []
+            nodes, names, direct = [], [], []
             for i, k, x, y, found in zip(ids, component, d1, d2, batch_shingles([t or "" for t in texts]), strict=True):
                 n = len(found)
                 if not n or (x is not None and _digest(found.tobytes()) != [x, y]):
@@ -203,81 +218,90 @@ def prefixes(docs: DataFrame, classes: DataFrame, common: np.ndarray, parts: int
                 at = np.searchsorted(shipped.value, found)
                 often = np.zeros(n, bool) if not len(shipped.value) else shipped.value[np.minimum(at, len(shipped.value) - 1)] == found
                 part = (found >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-                names = shared.distinct(part[~often] << np.uint64(32) | found[~often] & np.uint64(0xFFFFFFFF))
-                out.append((names, i, k, n, n // 4 + 1 - len(names)))
-                if len(names) < n // 4 + 1:
-                    direct.append((found[often][: n // 4 + 1 - len(names)], i, k, n, 0))
-            for own, kind in ((out, 1), (direct, 0)):
-                if own:
-                    names = np.concatenate([r[0] for r in own])
-                    size = [len(r[0]) for r in own]
-                    rep, comp, n, short = (np.repeat(np.array([r[c] for r in own], t), size) for c, t in ((1, np.int64), (2, np.int64), (3, np.int32), (4, np.int32)))
-                    by = (names >> np.uint64(32)).astype(np.int64) if kind else (rep.view(np.uint64) * _P >> np.uint64(32)).astype(np.int64) % parts
-                    yield packed(by, [names.view(np.int64), rep, comp, n, short, np.full(len(names), kind, np.int8)])
-
-    def grouped(step):
-        types = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int8)
-
-        def run(batches):
-            held, now = [], None
-            for batch in batches:
-                part = batch.column(0).to_pylist()
-                for r, p in enumerate(part):
-                    if p != now and held:
-                        yield step([np.concatenate(c) for c in zip(*held, strict=True)])
-                        held = []
-                    now = p
-                    held.append([np.frombuffer(batch.column(1 + k)[r].as_buffer(), t) for k, t in enumerate(types)])
-            if held:
-                yield step([np.concatenate(c) for c in zip(*held, strict=True)])
-
-        return run
-
-    def shared_by_classes(columns):
-        """Of the entries of a range of shingles those that several classes hold, with the number of sets, dealt by set."""
-        name, rep, comp, n, short, kind = columns
-        order = np.argsort(name, kind="stable")
-        name, rep, comp, n, short, kind = (c[order] for c in (name, rep, comp, n, short, kind))
-        heads = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
-        count = np.diff(np.r_[heads, len(name)])
-        several = np.minimum.reduceat(comp, heads) < np.maximum.reduceat(comp, heads)
-        keep = np.repeat(several, count) | (kind == 0)
-        sets = np.where(kind == 0, 0, np.repeat(count, count))[keep].astype(np.int32)
-        by = (rep[keep].view(np.uint64) * _P >> np.uint64(32)).astype(np.int64) % parts
-        return packed(by, [name[keep], rep[keep], comp[keep], n[keep], short[keep], sets])
-
-    def first_ones(batches):
-        """Of each set's entries those of its prefix."""
-        types = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32)
-
-        def chosen(held):
-            name, rep, comp, n, short, sets = (np.concatenate(c) for c in zip(*held, strict=True))
-            order = np.lexsort((name, sets, rep))
-            name, rep, comp, n, short, sets = (c[order] for c in (name, rep, comp, n, short, sets))
-            new = np.r_[True, (rep[1:] != rep[:-1]) | (name[1:] != name[:-1]) | ((sets[1:] == 0) != (sets[:-1] == 0))]
-            name, rep, comp, n, short, sets = (c[new] for c in (name, rep, comp, n, short, sets))
-            heads = np.flatnonzero(np.r_[True, rep[1:] != rep[:-1]])
-            size = np.diff(np.r_[heads, len(rep)])
-            direct = np.add.reduceat((sets == 0).astype(np.int64), heads)  # they come first of a set, and all are taken
-            take = np.repeat(direct + np.maximum(np.maximum.reduceat(np.where(sets == 0, np.iinfo(np.int32).min, short), heads) + size - direct, 0), size)
-            place = np.arange(len(rep)) - np.repeat(heads, size)
-            good = place < take
-            return pa.RecordBatch.from_arrays([pa.array(c[good], pa.int64()) for c in (name, rep, n, comp)], ["key", "rep", "n", "component"])
-
+                own = shared.distinct(part[~often] << np.uint64(32) | found[~often] & np.uint64(0xFFFFFFFF))
+                short = n // 4 + 1 - len(own)
+                nodes.append((i, k, n, short))
+                names.append(own)
+                direct.append(found[often][: max(0, short)])
+            if not nodes:
+                continue
+            rep, comp, n, short = (np.array(c, t) for c, t in zip(zip(*nodes, strict=True), (np.int64, np.int64, np.int32, np.int32), strict=True))
+            yield packed(_NODE, node_part(rep), [rep, comp, n, short])
+            size = [len(d) for d in direct]
+            yield packed(_DIRECT, node_part(np.repeat(rep, size)), [np.concatenate(direct).view(np.int64), np.repeat(rep, size)])
+            size, name = [len(x) for x in names], np.concatenate(names)
+            # a class is told only of those that aren't their own
+            yield packed(_SHINGLE, (name >> np.uint64(32)).astype(np.int64), [name.astype(np.uint32), np.repeat(rep, size)])
+            other = np.repeat(rep != comp, size)
+            yield packed(_CLASS, (name[other] >> np.uint64(32)).astype(np.int64), [name[other].astype(np.uint32), np.repeat(comp, size)[other], np.repeat(rep, size)[other]])
+
+    def by_part(batches):
+        """Lists of (kind, columns) of one part after another."""
         held, now = [], None
         for batch in batches:
-            for r, p in enumerate(batch.column(0).to_pylist()):
+            part, kind = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for r, p in enumerate(part):
                 if p != now and held:
-                    yield chosen(held)
+                    yield now, held
                     held = []
                 now = p
-                held.append([np.frombuffer(batch.column(1 + k)[r].as_buffer(), t) for k, t in enumerate(types)])
+                held.append((kind[r], [batch.column(2 + c)[r].as_buffer() for c in range(4)]))
         if held:
-            yield chosen(held)
+            yield now, held
+
+    def joined(held, kind: int, types: tuple) -> list[np.ndarray]:
+        """The arrays of one kind."""
+        own = [columns for k, columns in held if k == kind]
+        return [np.concatenate([np.zeros(0, t), *[np.frombuffer(columns[c], t) for columns in own]]) for c, t in enumerate(types)]
+
+    def shared_by_classes(batches):
+        """Of a range of shingles those that several classes hold, with the number of sets, dealt by set; what is dealt by set already passes."""
+        for part, held in by_part(batches):
+            for kind, types in ((_NODE, (np.int64, np.int64, np.int32, np.int32)), (_DIRECT, (np.int64, np.int64))):
+                columns = joined(held, kind, types)
+                if len(columns[0]):
+                    yield packed(kind, np.full(len(columns[0]), part), columns)
+            name, rep = joined(held, _SHINGLE, (np.uint32, np.int64))
+            if not len(name):
+                continue
+            other, comp, whose = joined(held, _CLASS, (np.uint32, np.int64, np.int64))
+            order = np.argsort(name, kind="stable")
+            name, rep = name[order], rep[order]
+            heads = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
+            count = np.diff(np.r_[heads, len(name)])
+            # the least and greatest class of each shingle, with told ones in place of the sets' own
+            own = np.ones(len(name), bool)
+            if len(other):
+                own = ~np.isin(rep, whose)
+            big, small = np.iinfo(np.int64).max, np.iinfo(np.int64).min
+            low, high = np.minimum.reduceat(np.where(own, rep, big), heads), np.maximum.reduceat(np.where(own, rep, small), heads)
+            at = np.searchsorted(name[heads], other)
+            np.minimum.at(low, at, comp)
+            np.maximum.at(high, at, comp)
+            keep = np.repeat(low < high, count)
+            yield packed(_SHARED, node_part(rep[keep]), [name[keep].astype(np.int64) | part << 32, rep[keep], np.repeat(count, count)[keep].astype(np.int32)])
 
-    blob = "part long, " + ", ".join(f"c{k} binary" for k in range(6))
+    def first_ones(batches):
+        """Of each set's entries those of its prefix."""
+        for _, held in by_part(batches):
+            rep, comp, n, short = joined(held, _NODE, (np.int64, np.int64, np.int32, np.int32))
+            rep, at = np.unique(rep, return_index=True)
+            comp, n, short = comp[at], n[at], short[at]
+            name, whose, sets = joined(held, _SHARED, (np.int64, np.int64, np.int32))
+            order = np.lexsort((name, sets, whose))
+            name, whose = name[order], whose[order]
+            new = np.r_[True, (whose[1:] != whose[:-1]) | (name[1:] != name[:-1])][: len(name)]  # repeated rows of a document
+            name, node = name[new], np.searchsorted(rep, whose[new])
+            size = np.bincount(node, minlength=len(rep))
+            place = np.arange(len(node)) - np.repeat(np.cumsum(size) - size, size)
+            good = place < np.repeat(short + size, size)  # those that one class holds come before them
+            more, whose = joined(held, _DIRECT, (np.int64, np.int64))
+            name, node = np.r_[name[good], more], np.r_[node[good], np.searchsorted(rep, whose)]
+            yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(rep[node]), pa.array(n[node].astype(np.int64)), pa.array(comp[node])], ["key", "rep", "n", "component"])
+
+    blob = "part long, kind int, c0 binary, c1 binary, c2 binary, c3 binary"
     to = shared.partitions(spark)
-    found = rows.mapInArrow(entries, blob).repartition(to, "part").sortWithinPartitions("part").mapInArrow(grouped(shared_by_classes), blob)
+    found = rows.mapInArrow(entries, blob).repartition(to, "part").sortWithinPartitions("part").mapInArrow(shared_by_classes, blob)
     return found.repartition(to, "part").sortWithinPartitions("part").mapInArrow(first_ones, "key long, rep long, n long, component long")
 
 
