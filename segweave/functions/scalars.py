@@ -46,9 +46,26 @@ def stem_number(stem: Column) -> Column:
 
 
 def letters(n: Column) -> Column:
-    """0 to a, 25 to z, 26 to aa, up to zz."""
-    low = F.chr(F.lit(97) + n % 26)
-    return F.when(n < 26, low).otherwise(F.concat(F.chr(F.lit(96) + F.floor(n / 26)), low))
+    """0 to a, 25 to z, 26 to aa, 701 to zz, 702 to aaa, and so on for any whole number."""
+    out, rest = F.chr(F.lit(97) + n % 26), F.floor(n / 26)
+    for _ in range(6):  # 27 to the 7th exceeds every int
+        out = F.when(rest > 0, F.concat(F.chr(F.lit(97) + (rest - 1) % 26), out)).otherwise(out)
+        rest = F.when(rest > 0, F.floor((rest - 1) / 26)).otherwise(F.lit(0))
+    return out
+
+
+def thousandths(c: Column) -> Column:
+    """A double to three decimals as its exact binary value rounds, halves to even.
+
+    The product with 1000 is taken in two parts: what its rounding lost decides where it seems to be a half.
+    """
+    product = c * F.lit(1000.0)
+    high = c * F.lit(134217729.0) - (c * F.lit(134217729.0) - c)
+    lost = (high * F.lit(1000.0) - product) + (c - high) * F.lit(1000.0)
+    low = F.floor(product).cast("double")
+    half = product - low == F.lit(0.5)
+    whole = F.when(half & (lost > 0), low + 1).when(half & (lost < 0), low).otherwise(F.rint(product))
+    return whole / F.lit(1000.0)
 
 
 def tokens(c: Column) -> Column:

@@ -1,4 +1,4 @@
-"""The registered queries of the reference's own operators, each with SQL where SQL can express it."""
+"""The registered queries of segment analytics, each with SQL where SQL can express it."""
 
 from __future__ import annotations
 
@@ -263,15 +263,8 @@ def manifest_projection(spark, d):
     return _shards(spark, d).drop("audio").where(F.split("source_id", "/")[0].isin("reciter-01", "reciter-02")).select("segment_id", "source_id", "index", "start_sample", "end_sample")
 
 
-@query(f"WITH {TIMED} SELECT segment_id, source_id, CASE WHEN ord % 13 <> 0 THEN md5(segment_id) ELSE md5('') END AS digest FROM timed WHERE ord % 29 = 0")
+@query(f"WITH {TIMED} SELECT segment_id, source_id, CASE WHEN ord % 13 <> 0 THEN md5(segment_id) ELSE md5('') END AS digest FROM timed")
 def blob_lookup(spark, d):
-    wanted = adapters.timed_segments(spark, d).where("ord % 29 = 0")
-    return io.clips(_shards(spark, d), wanted).select("segment_id", "source_id", F.md5("bytes").alias("digest"))
-
-
-@query()
-def all_blob_lookup(spark, d):
-    """blob_lookup of all clips; its SQL has every 29th."""
     return io.clips(_shards(spark, d), adapters.timed_segments(spark, d)).select("segment_id", "source_id", F.md5("bytes").alias("digest"))
 
 
@@ -284,10 +277,10 @@ PATCH = f"""{TIMED}, c AS (
   SELECT segment_id || CASE WHEN event_id % 50 = 7 THEN '-gone' ELSE '' END AS segment_id, event_id % 50 AS k, source_id AS c_source, start_seconds AS s, end_seconds AS e,
     ['adjust', 'drop', 'split', 'merge', 'frobnicate', 'adjust', 'adjust'][(event_id % 50)::INT] AS action,
     CASE WHEN event_id % 50 IN (1, 7) THEN start_seconds + 0.25 WHEN event_id % 50 = 6 THEN end_seconds END AS new_start, CASE WHEN event_id % 50 IN (1, 7) THEN end_seconds WHEN event_id % 50 = 6 THEN start_seconds END AS new_end,
-    CASE WHEN event_id % 50 = 4 THEN regexp_extract(segment_id, '^(.*)__[0-9]+$', 1) || '__' || printf('%04d', index + 1) END AS partner, event_id % 100 = 1 AND event_id % 50 = 1 AS drifted
+    CASE WHEN event_id % 50 = 4 THEN regexp_extract(segment_id, '^(.*)__[0-9]+$', 1) || '__' || printf('%04d', index + 1) END AS partner, event_id % 100 = 1 AND event_id % 50 = 1 AS drifted, 'seen ' || event_id % 50 AS note
   FROM timed WHERE event_id % 50 BETWEEN 1 AND 7),
 x AS (
-  SELECT t.*, c.action, c.new_start, c.new_end, c.partner, coalesce(c.drifted, false) AS drifted, p.start_seconds AS ps, p.end_seconds AS pe, p.is_last_of_source AS pl,
+  SELECT t.*, c.action, c.new_start, c.new_end, c.partner, c.note, coalesce(c.drifted, false) AS drifted, p.start_seconds AS ps, p.end_seconds AS pe, p.is_last_of_source AS pl,
     t.segment_id IN (SELECT partner FROM c WHERE partner IS NOT NULL) AS absorbed,
     list_sort(list_filter([t.start_seconds + 0.125, t.start_seconds + 0.25], lambda v: v > t.start_seconds AND v < t.end_seconds)) AS cuts
   FROM timed t LEFT JOIN c USING (segment_id) LEFT JOIN timed p ON p.segment_id = c.partner),
@@ -296,20 +289,29 @@ o AS (
     WHEN action = 'adjust' AND new_end <= new_start THEN 'inverted' WHEN action = 'adjust' THEN 'adjusted' WHEN len(cuts) > 0 THEN 'split' ELSE 'no_cut' END AS outcome FROM x)"""
 
 
+def thousandths(v: str) -> str:
+    """The SQL of scalars.thousandths."""
+    high = f"({v} * 134217729::DOUBLE - ({v} * 134217729::DOUBLE - {v}))"
+    lost = f"(({high} * 1000::DOUBLE - {v} * 1000::DOUBLE) + ({v} - {high}) * 1000::DOUBLE)"
+    low, product = f"floor({v} * 1000::DOUBLE)", f"({v} * 1000::DOUBLE)"
+    return f"(CASE WHEN {product} - {low} = 0.5 AND {lost} > 0 THEN {low} + 1 WHEN {product} - {low} = 0.5 AND {lost} < 0 THEN {low} ELSE round_even({product}, 0) END / 1000::DOUBLE)"
+
+
 @query(f"""WITH {PATCH}, parts AS (
   SELECT *, CASE outcome WHEN 'adjusted' THEN [new_start, new_end] WHEN 'merged' THEN [least(start_seconds, coalesce(ps, start_seconds)), greatest(end_seconds, coalesce(pe, end_seconds))]
-    WHEN 'split' THEN list_concat([start_seconds], list_concat(cuts, [end_seconds])) ELSE [start_seconds, end_seconds] END AS edges FROM o WHERE outcome NOT IN ('merged_away', 'dropped')),
-q AS (SELECT *, unnest(range(len(edges) - 1)) AS child_ord FROM parts)
+    WHEN 'split' THEN list_concat([start_seconds], list_concat(cuts, [end_seconds])) ELSE [start_seconds, end_seconds] END AS edges, outcome IN ('adjusted', 'merged', 'split') AS corrected FROM o WHERE outcome NOT IN ('merged_away', 'dropped')),
+q AS (SELECT *, edges[child_ord + 1] AS a, edges[child_ord + 2] AS b FROM (SELECT *, unnest(range(len(edges) - 1)) AS child_ord FROM parts))
 SELECT segment_id || CASE WHEN outcome = 'split' THEN '_' || chr((97 + child_ord)::INT) ELSE '' END AS segment_id, source_id, index, ord, child_ord, outcome,
-  edges[child_ord + 1] AS start_seconds, edges[child_ord + 2] AS end_seconds, edges[child_ord + 2] - edges[child_ord + 1] AS duration_seconds,
-  round_even(edges[child_ord + 1] * 16000, 0)::BIGINT AS start_sample, round_even(edges[child_ord + 2] * 16000, 0)::BIGINT AS end_sample,
-  is_last_of_source OR (outcome = 'merged' AND coalesce(pl, false)) AS is_last_of_source, CASE WHEN outcome = 'merged' THEN partner END AS merged_from, CASE WHEN outcome = 'split' THEN segment_id END AS parent_segment_id FROM q""")
+  CASE WHEN corrected THEN {thousandths("a")} ELSE a END AS start_seconds, CASE WHEN corrected THEN {thousandths("b")} ELSE b END AS end_seconds, CASE WHEN corrected THEN {thousandths("(b - a)")} ELSE b - a END AS duration_seconds,
+  CASE WHEN corrected THEN round_even(a * 16000, 0)::BIGINT ELSE start_sample END AS start_sample, CASE WHEN corrected THEN round_even(b * 16000, 0)::BIGINT ELSE end_sample END AS end_sample,
+  is_last_of_source OR (outcome = 'merged' AND coalesce(pl, false)) AS is_last_of_source, CASE WHEN outcome = 'merged' THEN segment_id || CASE WHEN ps IS NULL THEN '' ELSE ',' || partner END END AS merged_from,
+  CASE WHEN outcome = 'split' THEN segment_id END AS parent_segment_id, CASE WHEN outcome NOT IN ('merged', 'split') THEN segment_id || '.flac' END AS audio_path, corrected, CASE WHEN corrected THEN note END AS correction_note FROM q""")
 def apply_corrections(spark, d):
     s = adapters.timed_segments(spark, d)
-    return patch.apply(s, adapters.corrections(s))
+    return patch.apply(s, adapters.corrections(s)).withColumn("merged_from", F.array_join("merged_from", ","))
 
 
-@query(f"""WITH {PATCH} SELECT count(*) FILTER (outcome IN ('adjusted', 'dropped', 'split', 'merged')) AS applied, count(*) FILTER (outcome = 'dropped') AS dropped,
+@query(f"""WITH {PATCH} SELECT count(*) FILTER (outcome IN ('adjusted', 'split', 'merged')) AS applied, count(*) FILTER (outcome = 'dropped') AS dropped,
 coalesce(sum(len(cuts) + 1) FILTER (outcome = 'split'), 0)::BIGINT AS split_into, count(*) FILTER (outcome = 'merged_away') AS merged_away FROM o""")
 def correction_report(spark, d):
     s = adapters.timed_segments(spark, d)
@@ -420,32 +422,20 @@ def interval_clamp(spark, d):
     return i.where("end_sample > start_sample")
 
 
-REF_WORDS = r"""lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS body, unnest(range(len(string_split(text, chr(10))))) AS line FROM documents WHERE lang = 'en' AND NOT regexp_matches(text, '[^\x00-\x7F]')),
+REF_WORDS = r"""lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS body, unnest(range(len(string_split(text, chr(10))))) AS line FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
 w AS (SELECT doc_id, line, unnest(ws) AS raw_word, unnest(range(len(ws))) AS k FROM (SELECT doc_id, line, list_filter(regexp_split_to_array(body, '[ \t\r\f\x0B]+'), lambda x: x <> '') AS ws FROM lines)),
-ref_words AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY line, k) - 1 AS pos, regexp_replace(lower(raw_word), '[^a-z0-9]', '', 'g') AS word, raw_word, line AS verse FROM w)"""
+ref_words AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY line, k) - 1 AS pos, regexp_replace(lower(raw_word), '[^\p{L}\p{M}\p{N}]', '', 'g') AS word, raw_word, line AS verse FROM w)"""
 HYP = "hyp AS (SELECT doc_id, pos, CASE WHEN (doc_id * 31 + pos * 17) % 7 = 0 THEN 'x' || substr(word, 2) ELSE word END AS word FROM ref_words WHERE (doc_id * 31 + pos * 17) % 23 <> 0)"
 
 
 @query(f"WITH {REF_WORDS} SELECT doc_id, pos, word, raw_word, verse FROM ref_words")
 def ref_words(spark, d):
-    return adapters.ref_words(spark, d, adapters.ASCII_ENGLISH)
-
-
-@query()
-def all_ref_words(spark, d):
-    """ref_words of all documents with text; its SQL, as that of the queries on it, has the English ASCII ones."""
     return adapters.ref_words(spark, d)
 
 
 @query(f"""WITH {REF_WORDS}, s AS (SELECT doc_id, pos // 8 AS segment, verse, pos, raw_word, lag(verse) OVER (PARTITION BY doc_id, pos // 8 ORDER BY pos) AS v0 FROM ref_words)
 SELECT doc_id, segment, string_agg(raw_word, ' ' ORDER BY pos) AS label, string_agg(verse::VARCHAR, ' ' ORDER BY pos) FILTER (v0 IS NULL OR v0 <> verse) AS verses FROM s GROUP BY ALL""")
 def verses_spanned(spark, d):
-    return _verses(adapters.ref_words(spark, d, adapters.ASCII_ENGLISH))
-
-
-@query()
-def all_verses_spanned(spark, d):
-    """verses_spanned of all documents with text."""
     return _verses(adapters.ref_words(spark, d))
 
 
@@ -469,13 +459,6 @@ b AS (SELECT doc_id, pos, word || ' ' || lead(word, 1) OVER v || ' ' || lead(wor
 ua AS (SELECT doc_id, g, min(pos) AS ref_pos FROM a WHERE g IS NOT NULL GROUP BY ALL HAVING count(*) = 1), ub AS (SELECT doc_id, g, min(pos) AS hyp_pos FROM b WHERE g IS NOT NULL GROUP BY ALL HAVING count(*) = 1)
 SELECT doc_id, ref_pos, hyp_pos FROM ua JOIN ub USING (doc_id, g)""")
 def ngram_anchors(spark, d):
-    ref = adapters.ref_words(spark, d, adapters.ASCII_ENGLISH)
-    return alignment.ngram_anchors(ref, _heard(ref))
-
-
-@query()
-def all_ngram_anchors(spark, d):
-    """ngram_anchors of all documents with text."""
     ref = adapters.ref_words(spark, d)
     return alignment.ngram_anchors(ref, _heard(ref))
 
@@ -483,7 +466,7 @@ def all_ngram_anchors(spark, d):
 @query()
 def lis_chain(spark, d):
     """Length of the longest rising chain of each document's anchors."""
-    a = all_ngram_anchors(spark, d)
+    a = ngram_anchors(spark, d)
 
     def chain(key, rows):
         import pandas as pd
@@ -499,32 +482,9 @@ def norm_levenshtein(spark, d):
     return adapters.table(spark, d, "part").select("p_partkey", F.round(x.distance(F.col("p_name"), F.col("p_type")), 9).alias("distance"))
 
 
-@query(f"""WITH {REF_WORDS}, r AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, word) AS c FROM ref_words) WHERE c = 1 AND length(word) >= 5),
-{HYP}, h AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, word) AS c FROM hyp) WHERE c = 1 AND length(word) >= 5),
-p AS (SELECT r.doc_id, r.pos AS ref_pos, h.pos AS hyp_pos, levenshtein(r.word, h.word) / greatest(length(r.word), length(h.word)) AS dist FROM r JOIN h ON r.doc_id = h.doc_id AND r.pos // 32 = h.pos // 32),
-k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, ref_pos ORDER BY dist, hyp_pos) AS n, lead(dist) OVER (PARTITION BY doc_id, ref_pos ORDER BY dist, hyp_pos) AS second FROM p)
-SELECT doc_id, ref_pos, hyp_pos, round(dist, 9) AS distance FROM k WHERE n = 1 AND dist <= 0.34 AND (second IS NULL OR second - dist >= 0.15)""")
-def word_anchors(spark, d):
-    """Rare long words and their nearest partner in the same gap (here: 32 words), clearly nearer than the next."""
-    from pyspark.sql import Window
-
-    ref = adapters.ref_words(spark, d, adapters.ASCII_ENGLISH)
-    key = F.col("doc_id") * 31 + F.col("pos") * 17
-    hyp = ref.where(key % 23 != 0).select("doc_id", "pos", F.when(key % 7 == 0, F.concat(F.lit("x"), F.substring("word", 2, 1000))).otherwise(F.col("word")).alias("word"))
-
-    def rare(df, name):
-        once = F.count(F.lit(1)).over(Window.partitionBy("doc_id", "word"))
-        return df.select("doc_id", "pos", "word", once.alias("c")).where("c = 1 AND length(word) >= 5").select("doc_id", F.floor(F.col("pos") / 32).alias("gap"), F.col("pos").alias(f"{name}_pos"), F.col("word").alias(f"{name}_word"))
-
-    p = rare(ref, "ref").join(rare(hyp, "hyp"), ["doc_id", "gap"]).withColumn("dist", x.distance(F.col("ref_word"), F.col("hyp_word")))
-    w = Window.partitionBy("doc_id", "ref_pos").orderBy("dist", "hyp_pos")
-    k = p.select("doc_id", "ref_pos", "hyp_pos", "dist", F.row_number().over(w).alias("n"), F.lead("dist").over(w).alias("second"))
-    return k.where("n = 1 AND dist <= 0.34 AND (second IS NULL OR second - dist >= 0.15)").select("doc_id", "ref_pos", "hyp_pos", F.round("dist", 9).alias("distance"))
-
-
 @query()
-def all_word_anchors(spark, d):
-    """Word anchors of all documents with text, in the gaps that their chained n-grams leave (the SQL of word_anchors has fixed blocks of 32 words)."""
+def word_anchors(spark, d):
+    """Word anchors of all documents with text, in the gaps that their chained n-grams leave."""
     ref = adapters.ref_words(spark, d)
     return alignment.word_anchors_in_gaps(ref, _heard(ref))
 
@@ -541,27 +501,9 @@ def trim_and_span(spark, d):
     return t.select("l_orderkey", x.bounded_span(F.col("hits"), 8).alias("s")).select("l_orderkey", F.col("s.start").alias("span_start"), F.col("s.end").alias("span_end"))
 
 
-@query(f"""WITH {REF_WORDS}, {HYP}, t AS (SELECT doc_id, pos // 8 AS segment, string_agg(word, ' ' ORDER BY pos) AS said FROM hyp GROUP BY ALL),
-c AS (SELECT r.doc_id, r.segment, e AS extra, string_agg(word, ' ' ORDER BY pos) AS body FROM (SELECT doc_id, unnest(range(max(pos) // 8 + 1)) AS segment FROM ref_words GROUP BY 1) r, range(5) AS x(e), ref_words w
-  WHERE w.doc_id = r.doc_id AND w.pos >= r.segment * 8 AND w.pos < r.segment * 8 + 5 + e GROUP BY ALL),
-s AS (SELECT doc_id, segment, extra, levenshtein(said, body) / greatest(length(said), length(body)) AS dist FROM c JOIN t USING (doc_id, segment))
-SELECT doc_id, segment, arg_min(extra, (dist, extra)) AS extra, round(min(dist), 9) AS distance FROM s GROUP BY ALL""")
-def span_extension(spark, d):
-    """For each segment the number of words, 0 to 4 past its fifth, that brings its span nearest to what was said."""
-    ref = adapters.ref_words(spark, d, adapters.ASCII_ENGLISH)
-    words = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", c))), lambda s: s[c]), " ")
-    key = F.col("doc_id") * 31 + F.col("pos") * 17
-    heard = F.when(key % 23 == 0, F.lit(None)).when(key % 7 == 0, F.concat(F.lit("x"), F.substring("word", 2, 1000))).otherwise(F.col("word"))
-    seg = F.floor(F.col("pos") / 8).alias("segment")
-    rows = ref.withColumn("heard", heard).groupBy("doc_id", seg).agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("w"), words("heard").alias("said"), F.count("heard").alias("n")).where("n > 0")
-    body = lambda e: F.array_join(F.transform(F.slice("w", 1, e + 5), lambda s: s["word"]), " ")
-    best = F.array_min(F.transform(F.sequence(F.lit(0), F.lit(4)), lambda e: F.struct(x.distance(F.col("said"), body(e)).alias("dist"), e.cast("long").alias("extra"))))
-    return rows.select("doc_id", "segment", best.alias("b")).select("doc_id", "segment", "b.extra", F.round("b.dist", 9).alias("distance"))
-
-
 @query()
-def all_span_extension(spark, d):
-    """Each eight words' first five, moved outward to what was said: ends, then starts, up to 80 words (the SQL of span_extension tries five ends)."""
+def span_extension(spark, d):
+    """Each eight words' first five, moved outward to what was said: ends, then starts, up to 80 words."""
     ref = adapters.ref_words(spark, d).where("word <> ''")
     ref = ref.select("doc_id", (F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")) - 1).alias("pos"), "word")
     said = alignment.simulated(ref).where("transcript <> ''")

@@ -56,7 +56,7 @@ def timed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.format_string("%s__%s__%04d", "reciter_slug", "stem", "index").alias("segment_id"),
         (F.col("index") * 160000).cast("long").alias("start_sample"),
         (F.col("index") * 160000 + length).cast("long").alias("end_sample"),
-        "is_last_of_source", "event_id",
+        "is_last_of_source", "event_id", F.format_string("%s__%s__%04d.flac", "reciter_slug", "stem", "index").alias("audio_path"),
     ).withColumn("start_seconds", F.col("start_sample") / 16000).withColumn("end_seconds", F.col("end_sample") / 16000)
 
 
@@ -76,17 +76,14 @@ def corrections(segs: DataFrame) -> DataFrame:
         # of the drifted ones, half moved at their start, half at their end alone
         F.when(k == 1, F.col("start_seconds") + F.when(F.col("event_id") % 200 == 1, 99.0).otherwise(0.0)).alias("orig_start"),
         F.when(k == 1, F.col("end_seconds") + F.when(F.col("event_id") % 200 == 101, 99.0).otherwise(0.0)).alias("orig_end"),
+        F.concat(F.lit("seen "), k.cast("string")).alias("note"),
         F.col("ord").alias("c_ord"),
     )
 
 
-#: The documents that the SQL of ref_words and of the queries on it takes.
-ASCII_ENGLISH = "lang = 'en' AND text NOT RLIKE '[^\\\\x00-\\\\x7F]'"
-
-
-def ref_words(spark: SparkSession, sf_dir: str, which: str = "doc_id IS NOT NULL AND text IS NOT NULL") -> DataFrame:
+def ref_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of the documents by position, with the line as verse; a word keeps its letters and digits of any script."""
-    d = table(spark, sf_dir, "documents").where(which)
+    d = table(spark, sf_dir, "documents").where("doc_id IS NOT NULL AND text IS NOT NULL")
     lines = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "body"))
     words = lines.select("doc_id", "line", F.posexplode(F.filter(F.split("body", r"\s+"), lambda w: w != "")).alias("k", "raw_word"))
     order = Window.partitionBy("doc_id").orderBy("line", "k")

@@ -23,10 +23,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_manifest(spark: SparkSession, path: str, schema: str = SEGMENT) -> DataFrame:
-    """Rows of a JSONL manifest; lines that don't parse are left out, a missing file is empty."""
+    """Rows of a JSONL manifest; lines that don't parse are left out, blanks around a line don't matter, a missing file is empty."""
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    lines = spark.read.text(path).where("value LIKE '{%'")
+    lines = spark.read.text(path).select(F.regexp_replace("value", r"^\s+|\s+$", "").alias("value")).where("value LIKE '{%'")
     # a torn line parses to a row of nulls or to null, so the key decides
     return lines.select(F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r")).select("r.*").where("segment_id IS NOT NULL")
 
@@ -36,30 +36,29 @@ def append_manifest(rows: DataFrame, path: str) -> None:
 
 
 def read_corrections(spark: SparkSession, path: str) -> DataFrame:
-    """Corrections of a JSONL file with their line order; blank and # lines are skipped, others must parse."""
+    """Corrections of a JSONL file with their line order; blank and # lines are skipped, others must parse and name a segment; a missing file is empty."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], "segment_id string, action string, new_start double, new_end double, at_seconds array<double>, with_ids array<string>, orig_start double, orig_end double, note string, c_ord long")
     lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("c_ord")).where("trim(value) <> '' AND trim(value) NOT LIKE '#%'")
     r = lines.select("c_ord", F.from_json("value", CORRECTION, {"mode": "FAILFAST"}).alias("r")).select("c_ord", "r.*")
-    return r.select("segment_id", F.coalesce("action", F.lit("adjust")).alias("action"), F.col("start_seconds").alias("new_start"), F.col("end_seconds").alias("new_end"), F.coalesce("at_seconds", F.array().cast("array<double>")).alias("at_seconds"), F.coalesce("with", "with_ids", F.array().cast("array<string>")).alias("with_ids"), F.col("orig_start_seconds").alias("orig_start"), F.col("orig_end_seconds").alias("orig_end"), "note", "c_ord")
+    named = F.when(F.col("segment_id").isNull(), F.raise_error(F.lit("a correction without segment_id")).cast("string")).otherwise(F.col("segment_id"))
+    return r.select(named.alias("segment_id"), F.coalesce("action", F.lit("adjust")).alias("action"), F.col("start_seconds").alias("new_start"), F.col("end_seconds").alias("new_end"), F.coalesce("at_seconds", F.array().cast("array<double>")).alias("at_seconds"), F.coalesce("with", "with_ids", F.array().cast("array<string>")).alias("with_ids"), F.col("orig_start_seconds").alias("orig_start"), F.col("orig_end_seconds").alias("orig_end"), "note", "c_ord")
 
 
 def discover(spark: SparkSession, root: str) -> DataFrame:
     """path, reciter_slug and source_id of the recordings below root; contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
-    base = root.rstrip("/").rpartition("/")[2]
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    base = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().getPath().rstrip("/")
     parent, stem = F.regexp_extract("path", "([^/]+)/[^/]+$", 1), F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)
-    group = F.when(parent == base, "unknown").otherwise(slug(parent))
+    folder = F.regexp_replace(F.regexp_extract("path", "^(.*)/[^/]+$", 1), "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+    group = F.when(folder == base, "unknown").otherwise(slug(parent))
     return files.where(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*AUDIO)).select("path", "length", group.alias("reciter_slug"), F.concat(group, F.lit("/"), stem).alias("source_id")).orderBy("path")
 
 
 def publish(rows: DataFrame, path: str) -> None:
     """Write shards, one directory a recording; those in rows replace what was there, others stay."""
-    spark = rows.sparkSession
-    had = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        rows.repartition("source_id").write.mode("overwrite").partitionBy("source_id").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", had)
+    rows.repartition("source_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").parquet(path)
 
 
 def published(spark: SparkSession, path: str) -> DataFrame:
@@ -79,6 +78,26 @@ def clips(shards: DataFrame, wanted: DataFrame) -> DataFrame:
     return shards.select("source_id", "segment_id", F.coalesce("audio.bytes", F.lit(b"")).alias("bytes")).join(wanted.select("source_id", "segment_id").distinct(), ["source_id", "segment_id"], "left_semi")
 
 
+def readable_shards(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of the shards that can be read; one that is damaged or gone costs its own rows, not the run."""
+    return spark.read.schema(schema).option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).option("recursiveFileLookup", True).parquet(path)
+
+
+def label_rows(rows: DataFrame, aligned: DataFrame, words: DataFrame) -> DataFrame:
+    """rows with what alignment found written back: label, verses, bounds in the reference, distance, ok and repeat.
+
+    aligned has source_id, index, ref_start, ref_end, distance, ok, is_repeat; words
+    source_id, pos, raw_word, verse. A row without a place has null label and bounds and is not ok.
+    """
+    placed = aligned.where("ref_start >= 0 AND ref_end > ref_start")
+    said = placed.select("source_id", "index", F.explode(F.sequence("ref_start", F.col("ref_end") - 1)).alias("pos")).join(words, ["source_id", "pos"])
+    told = said.groupBy("source_id", "index").agg(F.array_sort(F.collect_list(F.struct("pos", "raw_word"))).alias("w"), F.min("verse").alias("ayah_start"), F.max("verse").alias("ayah_end"))
+    told = told.select("source_id", "index", F.array_join(F.transform("w", lambda x: x["raw_word"]), " ").alias("label"), "ayah_start", "ayah_end")
+    found = aligned.join(told, ["source_id", "index"], "left").select("source_id", "index", "label", "ayah_start", "ayah_end", F.when(F.col("ref_start") >= 0, F.col("ref_start")).alias("ref_start"), F.when(F.col("ref_start") >= 0, F.col("ref_end")).alias("ref_end"), F.col("distance").alias("align_distance"), F.col("ok").alias("align_ok"), "is_repeat")
+    new = [c for c in found.columns if c not in ("source_id", "index")]
+    return rows.drop(*new).join(found, ["source_id", "index"], "left")
+
+
 def pulled(files: DataFrame) -> DataFrame:
     """Files and gigabytes by group, and of all (group null)."""
     return files.rollup("reciter_slug").agg(F.count(F.lit(1)).alias("files"), F.round(F.sum("size_bytes") / 1e9, 6).alias("gigabytes"))

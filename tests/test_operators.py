@@ -89,11 +89,93 @@ def test_corrections(spark, tmp_path):
     got = {r.segment_id: r for r in patch.apply(segs(spark), c).collect()}
     assert set(got) == {"s0", "s1_a", "s1_b", "s1_c", "s2", "s4"}
     assert (got["s0"].start_seconds, got["s0"].start_sample) == (0.5, 8000) and got["s1_b"].start_seconds == 13.0 and (got["s2"].start_seconds, got["s2"].end_seconds) == (20.0, 38.0)
-    assert got["s4"].outcome == "refused" and tuple(patch.report(segs(spark), c).first()) == (4, 1, 3, 2)
+    assert got["s4"].outcome == "refused" and tuple(patch.report(segs(spark), c).first()) == (3, 1, 3, 2)
     assert {tuple(r) for r in patch.exceptions(segs(spark), c).collect()} == {("s4", "refused"), ("s6", "drifted"), ("zz", "unmatched")}
     assert "s6" in {r.segment_id for r in patch.apply(segs(spark), c, strict_drift=True).collect()}
 
 
+def test_corrected_rows_are_retimed_as_the_data_model_has_it(spark, tmp_path):
+    r = random.Random(5)
+    values = [k / 16000 for k in (8, 24, 40, 1, 3, 16008, 32008, 160040)] + [r.randrange(1 << 24) / 16000 for _ in range(3000)] + [r.random() * 1e4 for _ in range(500)] + [2.0005, 2.0015, 0.0]
+    got = [x.v for x in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").orderBy("i").select(scalars.thousandths(F.col("v")).alias("v")).collect()]
+    assert got == [round(v, 3) for v in values]
+    c = fixes(spark, tmp_path, {"segment_id": "s0", "start_seconds": 0.0005, "end_seconds": 7.12345, "note": "late"}, {"segment_id": "s2", "action": "merge", "with": ["gone", "s3", "s1"]}, {"segment_id": "s4", "action": "split", "at_seconds": [43.33333]}, {"segment_id": "s5", "action": "drop"})
+    rows = segs(spark).withColumn("audio_path", F.concat("segment_id", F.lit(".flac")))
+    got = {x.segment_id: x for x in patch.apply(rows, c).collect()}
+    assert (got["s0"].start_seconds, got["s0"].end_seconds, got["s0"].duration_seconds, got["s0"].start_sample, got["s0"].end_sample) == (0.001, 7.123, round(7.12345 - 0.0005, 3), 8, round(7.12345 * 16000))
+    assert (got["s0"].corrected, got["s0"].correction_note, got["s0"].audio_path) == (True, "late", "s0.flac")
+    assert got["s2"].merged_from == ["s2", "s3", "s1"] and (got["s2"].start_seconds, got["s2"].end_seconds, got["s2"].audio_path) == (10.0, 38.0, None)
+    assert got["s4_a"].end_seconds == 43.333 and got["s4_b"].parent_segment_id == "s4" and got["s4_b"].audio_path is None and got["s4_b"].is_last_of_source
+    assert (got["s6"].corrected, got["s6"].correction_note, got["s6"].audio_path, got["s6"].merged_from) == (False, None, "s6.flac", None) and "s5" not in got
+    assert tuple(patch.report(rows, c).first()) == (3, 1, 2, 2)
+    assert {tuple(x) for x in patch.exceptions(rows, c).collect()} == {("s2", "missing_part")}
+
+
+def test_quantiles_of_large_groups(spark):
+    """Groups beyond `most` go by brackets; they are as exact as the others."""
+    r = random.Random(6)
+    rows = [("a", r.choice([0.0, 1.0, r.random(), r.random() ** 9 * 1e6])) for _ in range(20_000)] + [("b", float(i)) for i in range(7)] + [(None, 5.0)] * 3000 + [("c", None)]
+    wanted = {"low": (0.01, "floor"), "mid": (0.5, "median"), "near": (0.95, "nearest"), "last": (1.0, "floor"), "first": (0.0, "nearest")}
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    got = {x.g: tuple(x)[1:] for x in ranks.ranks(df, ["g"], "v", wanted, most=2000).collect()}
+    for g in ("a", "b", None):
+        v = sorted(x for k, x in rows if k == g)
+        n = len(v)
+        assert got[g] == (n, v[min(n - 1, n // 100)], (v[(n - 1) // 2] + v[n // 2]) / 2, v[round((n - 1) * 0.95)], v[-1], v[0])
+    assert set(got) == {"a", "b", None}
+
+
+def test_ingest_takes_the_newest_file_of_a_batch(spark, tmp_path):
+    import os
+
+    schema, folder = "source_id string, n int", tmp_path / "in"
+    folder.mkdir()
+    for name, at, lines in (("b", 1000, [("x", 1), ("y", 1)]), ("a", 2000, [("x", 2), ("x", 3)]), ("c", 1000, [("y", 4)])):
+        (folder / f"{name}.json").write_text("\n".join(json.dumps({"source_id": k, "n": n}) for k, n in lines))
+        os.utime(folder / f"{name}.json", (at, at))
+    for _ in range(2):
+        ingest(spark, str(folder), str(tmp_path / "out"), str(tmp_path / "mark"), schema)
+        assert sorted((x.source_id, x.n) for x in spark.read.parquet(str(tmp_path / "out")).collect()) == [("x", 2), ("x", 3), ("y", 4)]
+
+
+def test_folders_lines_and_damaged_shards(spark, tmp_path):
+    (tmp_path / "in" / "zed" / "in").mkdir(parents=True)
+    (tmp_path / "in" / "zed" / "in" / "1.mp3").write_bytes(b"x")
+    (tmp_path / "in" / "2.MP3").write_bytes(b"x")
+    assert sorted(x.source_id for x in io.discover(spark, str(tmp_path / "in")).collect()) == ["in/1", "unknown/2"]
+    (tmp_path / "m.jsonl").write_text('  {"segment_id": "a"} \n\t{"segment_id": "b"}\n{"segm')
+    assert [x.segment_id for x in io.read_manifest(spark, str(tmp_path / "m.jsonl")).collect()] == ["a", "b"]
+    assert io.read_corrections(spark, str(tmp_path / "no.jsonl")).count() == 0
+    (tmp_path / "c.jsonl").write_text('{"action": "drop"}')
+    with pytest.raises(Exception, match="without segment_id"):
+        io.read_corrections(spark, str(tmp_path / "c.jsonl")).collect()
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "s" / "a"))
+    (tmp_path / "s" / "bad.parquet").write_bytes(b"PAR1 not a shard PAR1")
+    assert io.readable_shards(spark, str(tmp_path / "s"), "id long").count() == 3
+    assert [value(spark, scalars.letters(F.lit(n))) for n in (701, 702, 703, 18277, 18278)] == ["zz", "aaa", "aab", "zzz", "aaaa"]
+
+
+def test_labels_are_written_back(spark):
+    rows = spark.createDataFrame([("s", 0, "x", "old"), ("s", 1, "y", "old"), ("t", 0, "z", None)], "source_id string, index int, asr string, label string")
+    aligned = spark.createDataFrame([("s", 0, 0, 3, 0.1, True, False), ("s", 1, -1, -1, 1.0, False, False)], "source_id string, index int, ref_start int, ref_end int, distance double, ok boolean, is_repeat boolean")
+    words = spark.createDataFrame([("s", k, w, k // 2) for k, w in enumerate("A b C d".split())], "source_id string, pos int, raw_word string, verse int")
+    got = {(x["source_id"], x["index"]): x for x in io.label_rows(rows, aligned, words).collect()}
+    assert (got["s", 0].label, got["s", 0].ayah_start, got["s", 0].ayah_end, got["s", 0].ref_end, got["s", 0].align_ok) == ("A b C", 0, 1, 3, True)
+    assert (got["s", 1].label, got["s", 1].ref_start, got["s", 1].align_ok) == (None, None, False) and got["t", 0].label is None and got["t", 0].asr == "z"
+
+
+def test_chain_is_as_long_as_any(spark):
+    r = random.Random(9)
+    for _ in range(60):
+        points = [(r.randrange(9), r.randrange(9)) for _ in range(r.randrange(0, 12))]
+        chain = alignment.rising_chain(points)
+        assert set(chain) <= set(points) and all(a[0] < b[0] and a[1] < b[1] for a, b in zip(chain, chain[1:], strict=False))
+        best = {p: 1 for p in points}
+        for p in sorted(points):
+            best[p] = 1 + max([best[q] for q in points if q[0] < p[0] and q[1] < p[1]], default=0)
+        assert len(chain) == max(best.values(), default=0)
+
+
 def test_drift_at_either_bound(spark, tmp_path):
     drop = lambda k, **orig: {"segment_id": f"s{k}", "action": "drop", **{f"orig_{b}_seconds": v for b, v in orig.items()}}
     c = fixes(spark, tmp_path, drop(0, end=9.0), drop(1, start=10.0, end=18.04), drop(2, start=20.0, end=27.9), drop(3, start=30.06), drop(4, end=48.0), drop(5))
