@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, language_id, mixing, ngram_join, packing, quality_rules, substring_dedup, token_counts, token_output, url_filter
+from pyspark.sql import functions as F
+
+from . import embedding_dedup, language_id, mixing, ngram_join, packing, quality_rules, shared, substring_dedup, token_counts, token_output, url_filter
 
 
 def _table(spark, sf_dir, name):
@@ -36,6 +38,13 @@ def op5_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents"), policy="v1")
 
 
+def quality_ablation(spark, sf_dir):
+    """What each rule of two policies rejects, alone or at all, from one stored ledger."""
+    book = shared.staged(quality_rules.ledger(_table(spark, sf_dir, "documents")), "quality-ledger")
+    each = [quality_rules.ablation(book, policy).withColumn("policy", F.lit(policy)) for policy in ("v1", "v1_lenient")]
+    return each[0].unionByName(each[1])
+
+
 def op6_ngram_join(spark, sf_dir):
     return ngram_join.jaccard_classes(_table(spark, sf_dir, "documents"))
 
@@ -62,7 +71,7 @@ def op10_substring_dedup(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_records, op2_token_counts, op3_language_id, op4_packing, op5_quality_rules, op6_ngram_join, op7_mixing, op8_embedding_dedup, op9_url_filter, op10_substring_dedup)
+    for f in (op1_token_records, op2_token_counts, op3_language_id, op4_packing, op5_quality_rules, op6_ngram_join, op7_mixing, op8_embedding_dedup, op9_url_filter, op10_substring_dedup, quality_ablation)
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -133,3 +142,12 @@ k AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, vec_id = coalesce(component_id, vec_id) AS kept
 FROM n LEFT JOIN m ON vec_id = node LEFT JOIN k ON vec_id = a""",
 }
+
+_RULES = ", ".join(f"('{name}', {1 << k})" for k, (name, _) in enumerate(quality_rules.RULES))
+ORACLE["quality_ablation"] = (
+    ORACLE["op5_quality_rules"].partition("SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed_bits = 0")[0].rstrip()
+    + f""",
+r(rule, bit) AS (VALUES {_RULES}), y(policy, whole) AS (VALUES ('v1', 127), ('v1_lenient', 27)),
+z AS (SELECT policy, rule, bit, failed_bits & whole AS bits FROM f, r, y WHERE bit & whole <> 0)
+SELECT policy, rule, count(*) FILTER (bits & bit <> 0) AS failing, count(*) FILTER (bits = bit) AS only_this, count(*) FILTER (bits & ~bit = 0) AS kept_without, bit_or(bits)::BIGINT AS seen_bits FROM z GROUP BY policy, rule"""
+)
