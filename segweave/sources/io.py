@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import shard_source, slug
@@ -45,15 +45,16 @@ def read_corrections(spark: SparkSession, path: str) -> DataFrame:
     return r.select(named.alias("segment_id"), F.coalesce("action", F.lit("adjust")).alias("action"), F.col("start_seconds").alias("new_start"), F.col("end_seconds").alias("new_end"), F.coalesce("at_seconds", F.array().cast("array<double>")).alias("at_seconds"), F.coalesce("with", "with_ids", F.array().cast("array<string>")).alias("with_ids"), F.col("orig_start_seconds").alias("orig_start"), F.col("orig_end_seconds").alias("orig_end"), "note", "c_ord")
 
 
-def discover(spark: SparkSession, root: str) -> DataFrame:
-    """path, reciter_slug and source_id of the recordings below root; contents aren't read."""
+def discover(spark: SparkSession, root: str, limit: int | None = None) -> DataFrame:
+    """path, reciter_slug and source_id of the recordings below root, by path, up to `limit`; contents aren't read, and files without bytes are left out."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     base = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().getPath().rstrip("/")
     parent, stem = F.regexp_extract("path", "([^/]+)/[^/]+$", 1), F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)
     folder = F.regexp_replace(F.regexp_extract("path", "^(.*)/[^/]+$", 1), "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
     group = F.when(folder == base, "unknown").otherwise(slug(parent))
-    return files.where(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*AUDIO)).select("path", "length", group.alias("reciter_slug"), F.concat(group, F.lit("/"), stem).alias("source_id")).orderBy("path")
+    found = files.where(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*AUDIO)).select("path", "length", group.alias("reciter_slug"), F.concat(group, F.lit("/"), stem).alias("source_id")).orderBy("path")
+    return found if limit is None else found.limit(limit)
 
 
 def publish(rows: DataFrame, path: str) -> None:
@@ -78,6 +79,29 @@ def clips(shards: DataFrame, wanted: DataFrame) -> DataFrame:
     return shards.select("source_id", "segment_id", F.coalesce("audio.bytes", F.lit(b"")).alias("bytes")).join(wanted.select("source_id", "segment_id").distinct(), ["source_id", "segment_id"], "left_semi")
 
 
+def write_params(spark: SparkSession, path: str, params: dict) -> None:
+    """Parameters as one JSON file, in place of what was there."""
+    import json
+
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(json.dumps(params, ensure_ascii=False, indent=2).encode()))
+    finally:
+        out.close()
+
+
+def reference_words(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, pos, raw_word, verse of a text in JSON: verses (chapter, verse, text), in a list or under a name of their own; verses in numeric order."""
+    rows = spark.read.option("multiLine", True).json(path)
+    if "chapter" not in rows.columns:
+        rows = rows.select(F.explode(rows.columns[0]).alias("r")).select("r.*")
+    verses = rows.select(F.col("chapter").cast("long").alias("doc_id"), F.col("verse").cast("int").alias("verse"), "text")
+    words = verses.select("doc_id", "verse", F.posexplode(F.filter(F.split("text", r"\s+"), lambda w: w != "")).alias("k", "raw_word"))
+    order = Window.partitionBy("doc_id").orderBy("verse", "k")  # a chapter is one group
+    return words.select("doc_id", (F.row_number().over(order) - 1).alias("pos"), "raw_word", "verse")
+
+
 def readable_shards(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of the shards that can be read; one that is damaged or gone costs its own rows, not the run."""
     return spark.read.schema(schema).option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).option("recursiveFileLookup", True).parquet(path)
