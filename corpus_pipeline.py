@@ -1,7 +1,14 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before
-kept; `run` writes and rereads what each returns.
+kept; `run` writes and rereads what each returns, and removes what a stage
+staged once its result is written.
+
+Null and empty texts and texts without a letter go in the first stage, as their
+language isn't recognised. Of repeated rows and rows that share a doc_id one
+stays in the second; rows with a null doc_id stay. Texts of any length are
+processed whole. An empty table gives an empty result, and extra columns are
+carried up to the last stage whatever their names, but for `cut_spans`.
 """
 
 from __future__ import annotations
@@ -44,7 +51,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
+        known = shared.made_paths()
         docs = shared.staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        made = [p for p in shared.made_paths() if p not in known]
+        shared.remove(spark, [*before, *made[:-1]])  # the stage's result stands: what it was made from may go
+        before = made[-1:]
     return docs

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -32,8 +33,26 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+#: Paths that this thread's calls made and didn't remove.
+_MADE = threading.local()
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    made = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.paths = [*made_paths(), made]
+    return made
+
+
+def made_paths() -> list[str]:
+    return getattr(_MADE, "paths", [])
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _MADE.paths = [p for p in made_paths() if p not in paths]
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -184,5 +184,12 @@ def test_pipeline_stages(spark, docs, tmp_path):
         seen.append(sorted(x.doc_id for x in frame.collect()))
     assert seen[0] == sorted(x[0] for x in base + copies) and seen[1] == seen[2] == [x[0] for x in base]
     assert set(seen[3]) <= set(seen[2]) and len(seen[3]) > len(seen[2])
+    (tmp_path / "few").mkdir()
+    odd = [(1, say(r, "cc", 60), "cc", "a")] * 3 + [(1, None, None, None), (None, say(r, "cc", 60), "cc", None), (2, "", "cc", "a")]
+    for rows_, extra in ((odd, True), ([], True)):
+        at = str(tmp_path / "few" / f"{len(rows_)}")
+        docs(rows_, extra).write.parquet(f"{at}/documents.parquet")
+        pieces = corpus_pipeline.run(spark, at).collect()
+        assert {x.doc_id for x in pieces} <= {1, None} and bool(pieces) == bool(rows_)
     last = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted({x.doc_id for x in last}) == sorted(set(seen[3]))
