@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as x
-from ..operators import alignment, audit, quality, review
+from ..operators import alignment, audit, cases, quality, review
 from ..operators import corrections as patch
 from ..sources import adapters, io
 from ..streaming.ingest import ingest
@@ -536,6 +536,13 @@ def alignment_score(spark, d):
     return alignment.score(alignment.align_documents(ref, heard), heard)
 
 
+@query()
+def simulated_cases(spark, d):
+    """A recording of each document, simulated with an opening and a closing, four repeats, filler, damage and lost words."""
+    ref = adapters.ref_words(spark, d)
+    return cases.cases(ref, seed=1, rate=0.1, drop=0.05, repeats=4, filler=6, opening=("listen to what follows",), closing=("that was all",))
+
+
 @query()
 def locate_passage(spark, d):
     """Where each benchmark passage lies in each document that shares a 4-gram of it that few documents have."""
