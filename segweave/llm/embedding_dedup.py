@@ -1,19 +1,22 @@
 """Embedding near-dedup by PCA-ordered tiled comparison.
 
 Vectors are normalised in double precision and turned into the corpus's
-principal axes. Vectors whose cosine reaches the threshold are no farther apart
-than `reach` on any axis, so they are dealt into cells of that width on the three leading
-axes and, within a cell, into blocks along a Hilbert curve; a block meets those
-of its own and the neighbouring cells, unless their boxes on the leading axes are too far apart.
+principal axes. They are dealt into blocks along a Hilbert curve over the leading
+axes; vectors whose cosine reaches the threshold are no farther apart than `reach`, so
+two blocks meet unless their boxes on the leading axes are too far apart.
 Where two blocks meet, a tile, the
 products of the leading axes are summed first; the rest of a product is at
 most the product of the suffix norms, so a pair whose partial sum and bound stay
 below the threshold is done. Pairs that survive all steps are decided by the
 plain cosine in double precision.
 
-Equal vectors are first folded to one row with their number, so a group of copies of any size
-is one row of a tile. A tile returns a count of links for each of its rows and a spanning
-forest of its links, never all pairs. Null and zero vectors and those with null or
+Vectors travel once: each block is written to a file in the shared folder, and the
+tasks that compare read the blocks they need from there, groups of blocks at a time. Beside them
+only ids and digests are shuffled, so the disk in use grows with the rows, not with the tiles.
+
+Equal vectors are folded to one row with their number as blocks are made, those of large groups
+before they travel, so a group of copies of any size is one row of a tile. A task returns
+counts of links and spanning forests of its links, never all pairs. Null and zero vectors and those with null or
 non-finite components link with nothing; vectors of different lengths don't
 link with each other. The axes are those of the most common length (ties: the longer);
 vectors of other lengths are compared in their own coordinates. Long vectors make
@@ -24,25 +27,35 @@ component. A null vec_id has null results. An empty table gives no row; extra co
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
-from .components import Union, components
+from .components import components
 from .packing import hilbert_keys
 
 #: Rows and components of a block, and axes summed between two looks at the bound.
-BLOCK, BLOCK_VALUES, STEPS = 2048, 1 << 18, (8, 16, 32)
-#: Axes that make cells, that make the curve in a cell, and that make a block's box.
-CELL_AXES, CURVE_AXES, BOX_AXES = 3, 4, 16
+BLOCK, BLOCK_VALUES, STEPS = 2048, 1 << 18, (16, 32)
+#: Axes that make the curve, and that make a block's box.
+CURVE_AXES, BOX_AXES = 4, 16
+#: Blocks of a group, bytes of blocks that a task keeps, rows whose counts of links it keeps.
+GROUP, KEPT_BYTES, KEPT_ROWS = 16, 64 << 20, 1 << 20
+#: Copies from which a group is folded before its vectors travel, and how many such groups are broadcast at most.
+COPIES, COPIED_MOST = 64, 250_000
+#: Bits of a vector's digest that part equal places on the curve.
+TIE_BITS = 15
 #: Rows of the sample that gives the axes; any axes are right, these prune well.
 AXIS_ROWS = 4096
 _SLACK = 1e-9
+#: Slack for each axis of a bound that is summed in single precision, several times its rounding.
+_SINGLE = 2.0**-22
 
 
 def axes(sample: np.ndarray) -> np.ndarray:
@@ -51,130 +64,247 @@ def axes(sample: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(vector[:, ::-1])
 
 
-def units(rows: list[list[float]]) -> np.ndarray:
-    x = np.array(rows, np.float64)
+def units(x: np.ndarray) -> np.ndarray:
+    x = np.asarray(x, np.float64)
     x = x / np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
 def survivors(x: np.ndarray, y: np.ndarray, threshold: float, steps: tuple[int, ...] = STEPS) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows of x and y (in principal axes) whose product the suffix bounds can't keep below the threshold."""
-    steps = [s for s in steps if s < x.shape[1]]
-    i = j = None
-    total, at = 0.0, 0
-    for s in [*steps, x.shape[1]]:
+    steps = [*[s for s in steps if s < x.shape[1]], x.shape[1]]
+    i = None
+    for s in steps:
         rest_x, rest_y = (np.sqrt((m[:, s:] ** 2).sum(1)) for m in (x, y))
-        if i is None:
-            total = total + x[:, at:s] @ y[:, at:s].T
-            possible = total + rest_x[:, None] * rest_y[None, :] >= threshold - _SLACK
-            if s == x.shape[1] or possible.mean() < 0.05:
-                i, j = np.nonzero(possible)
-                total = total[i, j]
+        if i is None:  # all pairs: the suffix norms are one more axis of a product in single precision
+            possible = np.c_[x[:, :s], rest_x].astype(np.float32) @ np.c_[y[:, :s], rest_y].astype(np.float32).T >= np.float32(threshold - _SINGLE * (s + 2))
+            if s == x.shape[1] or np.count_nonzero(possible) < 0.05 * possible.size:
+                i, j = np.divmod(np.flatnonzero(possible), max(1, len(y)))
         else:
-            total = total + np.einsum("ij,ij->i", x[i, at:s], y[j, at:s])
-            keep = total + rest_x[i] * rest_y[j] >= threshold - _SLACK
-            i, j, total = i[keep], j[keep], total[keep]
-        at = s
+            part = [np.einsum("ij,ij->i", x[i[lo : lo + 65536], :s], y[j[lo : lo + 65536], :s]) for lo in range(0, len(i), 65536)]
+            keep = np.concatenate(part or [np.zeros(0)]) + rest_x[i] * rest_y[j] >= threshold - _SLACK
+            i, j = i[keep], j[keep]
     return i, j
 
 
-def tile(x: np.ndarray, y: np.ndarray, turned: Callable[[np.ndarray], np.ndarray], threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs of rows of x and y, each once; x and y are unit vectors in the given components, turned(x) in principal axes."""
-    i, j = survivors(turned(x), turned(y), threshold)
+def tile(x: np.ndarray, y: np.ndarray, turned_x: np.ndarray, turned_y: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Linked pairs of rows of x and y, each once; x and y are unit vectors in the given components, and turned ones in principal axes."""
+    i, j = survivors(turned_x, turned_y, threshold)
     if same:
         i, j = i[i < j], j[i < j]
     good = np.concatenate([np.einsum("ij,ij->i", x[i[lo : lo + 65536]], y[j[lo : lo + 65536]]) >= threshold for lo in range(0, len(i), 65536)] or [np.zeros(0, bool)])
     return i[good], j[good]
 
 
+def usable(batch: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]]:
+    """Of vec_id, embedding the rows, vectors, bytes and digests (two longs) of each length, without those that link with nothing and repeated rows."""
+    import xxhash
+
+    size = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)  # a null component is a NaN
+    stop = np.cumsum(size)
+    bad, filled = (np.r_[0, np.cumsum(m)] for m in (~np.isfinite(flat), flat != 0))
+    good = (bad[stop] == bad[stop - size]) & (filled[stop] > filled[stop - size])
+    found = []
+    for w in np.unique(size[good]).tolist():
+        rows = np.flatnonzero(good & (size == w))
+        x = flat[(stop[rows] - w)[:, None] + np.arange(w)] + flat.dtype.type(0)  # no negative zeros
+        raw = [r.tobytes() for r in x]
+        digest = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, raw)), "<i8").reshape(-1, 2)
+        ids = batch.column(0).take(pa.array(rows)).to_numpy()
+        first = np.sort(np.unique(np.c_[ids, digest], axis=0, return_index=True)[1])
+        found.append((rows[first], x[first], [raw[k] for k in first.tolist()], digest[first]))
+    return found
+
+
+def pairs_of(groups: int) -> int:
+    """How many numbers `pair` takes."""
+    return groups * (groups // 2 + 1)
+
+
+def pair(number: int, groups: int) -> tuple[int, int] | None:
+    """The groups that meet under a number, each two under one; None: they meet under another."""
+    g, apart = divmod(number, groups // 2 + 1)
+    return None if 2 * apart == groups and 2 * g >= groups else (g, (g + apart) % groups)
+
+
 def linked(embeddings: DataFrame, threshold: float = 0.95) -> DataFrame:
     """vec_id, n_links, component_id, kept of each row."""
     spark = embeddings.sparkSession
-    finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
-    usable = embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite & F.exists("embedding", lambda v: v != 0))
-    sizes = usable.groupBy(F.size("embedding").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("size")).limit(1).collect()
+    kind = embeddings.schema["embedding"].dataType.elementType.simpleString()
+    given = embeddings.select("vec_id", F.col("embedding") if kind == "float" else F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id IS NOT NULL")
+    dtype = np.dtype("<f4" if kind == "float" else "<f8")
+
+    def keyed(batches):
+        for batch in batches:
+            ids = batch.column(0)
+            for rows, x, _, digest in usable(batch):
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), pa.array(np.full(len(rows), x.shape[1], np.int32)), *map(pa.array, digest.T.copy())], ["vec_id", "width", "d1", "d2"])
+
+    keys = shared.staged(given.mapInArrow(keyed, "vec_id long, width int, d1 long, d2 long"), "vector-keys")
+    counted = shared.staged(keys.groupBy("width", "d1", "d2").agg(F.count(F.lit(1)).alias("rows"), F.min("vec_id").alias("rep")), "vector-counts")
+    sizes = counted.groupBy("width").agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows")).orderBy(F.desc("n"), F.desc("width")).collect()
     if not sizes:
         nothing = F.when(F.col("vec_id").isNotNull(), F.lit(0).cast("long"))
         return embeddings.select("vec_id", nothing.alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    folded = shared.staged(usable.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("n")), "vectors")
-    sample = folded.where(F.size("embedding") == sizes[0]["size"]).orderBy(F.xxhash64("rep"), "rep").limit(AXIS_ROWS).collect()
-    turn = axes(units([r["embedding"] for r in sample]))
+    distinct, common = sum(r["n"] for r in sizes), sizes[0]["width"]
+
+    # a sample of distinct vectors gives the axes and the ranges of the curve; any of both are right
+    sample = counted.where(F.col("width") == common).orderBy("d1", "d2").limit(AXIS_ROWS).select(F.col("rep").alias("vec_id"))
+    sample = given.where(F.size("embedding") == common).join(F.broadcast(sample), "vec_id", "left_semi").dropDuplicates(["vec_id"]).orderBy("vec_id").limit(AXIS_ROWS).collect()
+    drawn = np.array([r["embedding"] for r in sample if None not in r["embedding"]], np.float64).reshape(-1, common)
+    drawn = units(drawn[np.isfinite(drawn).all(1) & (drawn != 0).any(1)])
+    turn = axes(drawn)
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + _SLACK
-    cell = max(reach, 1e-3)
 
     def turned(x: np.ndarray) -> np.ndarray:
         return x @ turn if x.shape[1] == len(turn) else x
 
+    def along(x: np.ndarray) -> np.ndarray:
+        lead = np.zeros((len(x), CURVE_AXES))
+        lead[:, : min(x.shape[1], CURVE_AXES)] = turned(x)[:, :CURVE_AXES]
+        return hilbert_keys(np.clip((lead + 1) * 2048, 0, 4095).astype(np.int64)) << TIE_BITS
+
+    to = max(1, min(-(-distinct // BLOCK), shared.partitions(spark)))
+    places = np.sort(along(drawn))
+    bounds = places[np.arange(1, to) * len(places) // to] if len(places) else places
+
+    copied = counted.where(F.col("rows") > max(COPIES, sum(r["rows"] for r in sizes) // COPIED_MOST)).select("d1", "d2")
+    copied = shared.staged(keys.join(F.broadcast(copied), ["d1", "d2"]).groupBy("d1", "d2").agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("copies")), "vector-copies")
+
     def placed(batches):
         for batch in batches:
-            width = pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False)
-            for w in np.unique(width).tolist():
-                own = batch.filter(pa.array(width == w))
-                x = units(own.column(0).to_pylist())
-                lead = np.zeros((len(x), CURVE_AXES))
-                lead[:, : min(w, CURVE_AXES)] = turned(x)[:, :CURVE_AXES]
-                cells = np.floor(lead[:, :CELL_AXES] / cell).astype(np.int32)
-                along = hilbert_keys(np.clip((lead + 1) * 2048, 0, 4095).astype(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), w, np.int32)), *map(pa.array, cells.T), pa.array(along), own.column(1), own.column(2), pa.array([r.tobytes() for r in x], pa.binary())], ["width", "c0", "c1", "c2", "along", "rep", "n", "unit"])
-
-    where = ["width", "c0", "c1", "c2"]
-    rows = shared.staged(folded.mapInArrow(placed, "width int, c0 int, c1 int, c2 int, along long, rep long, n long, unit binary"), "vectors-placed")
+            ids = batch.column(0)
+            for rows, x, raw, digest in usable(batch):
+                place = along(units(x)) | digest[:, 0] & (1 << TIE_BITS) - 1
+                part = np.searchsorted(bounds, place, "right").astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(rows), x.shape[1], np.int32)), pa.array(place), *map(pa.array, digest.T.copy()), ids.take(pa.array(rows)), pa.array(raw, pa.binary())], ["part", "width", "place", "d1", "d2", "vec_id", "vector"])
+
+    folder = shared.fresh_path(spark, "vector-blocks")
 
     def blocks(batches):
+        """Rows d1, d2, rep, n of distinct vectors, and one of each block that says where its file has it and its box."""
+        files, base = shared.arrow_files(folder)
+        files.create_dir(base, recursive=True)
+        name = f"{folder}/{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
+        out, at = None, 0
+
         def full(held):
-            at, rep, n, unit = held[0][:4], *([h[k] for h in held] for k in (5, 6, 7))
-            lead = turned(np.frombuffer(b"".join(unit), np.float64).reshape(len(unit), -1))[:, :BOX_AXES]
-            return {**dict(zip(where, at, strict=True)), "low": lead.min(0).tolist(), "high": lead.max(0).tolist(), "reps": np.array(rep, "<i8").tobytes(), "counts": np.array(n, "<i8").tobytes(), "units": b"".join(unit)}
+            nonlocal out, at
+            if out is None:
+                out = files.open_output_stream(shared.arrow_files(name)[1])
+            width, n = held[0][0], len(held)
+            rep, count = (np.array([h[k] for h in held], "<i8") for k in (3, 4))
+            vectors = b"".join(h[5] for h in held)
+            out.write(rep.tobytes() + count.tobytes() + vectors)
+            box = np.zeros((2, BOX_AXES))
+            lead = turned(units(np.frombuffer(vectors, dtype).reshape(n, -1)))[:, :BOX_AXES]
+            box[:, : lead.shape[1]] = lead.min(0), lead.max(0)
+            none = [None] * n
+            columns = [[h[1] for h in held] + [None], [h[2] for h in held] + [None], [*rep.tolist(), None], [*count.tolist(), None], [*none, name], [*none, at], [*none, n], [*none, width], [*none, box.tobytes()]]
+            at += 16 * n + len(vectors)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _block, strict=True)], schema=_block)
 
-        held = []
+        held, last = [], None  # held: width, d1, d2, rep, n, vector
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and (row[:4] != held[0][:4] or len(held) >= min(BLOCK, max(16, BLOCK_VALUES // row[0]))):
-                    yield pa.RecordBatch.from_pylist([full(held)], _block)
+            for width, d1, d2, vec_id, copies, vector in zip(*(batch.column(c).to_pylist() for c in ("width", "d1", "d2", "vec_id", "copies", "vector")), strict=True):
+                if held and held[-1][:3] == [width, d1, d2]:
+                    if copies is None and vec_id != last:
+                        held[-1][4] += 1
+                    last = vec_id
+                    continue
+                if held and (width != held[0][0] or len(held) >= min(BLOCK, max(16, BLOCK_VALUES // width))):
+                    yield full(held)
                     held = []
-                held.append(row)
+                held.append([width, d1, d2, vec_id, copies or 1, vector])
+                last = vec_id
         if held:
-            yield pa.RecordBatch.from_pylist([full(held)], _block)
-
-    _block = pa.schema([*[(c, pa.int32()) for c in where], *[(c, pa.list_(pa.float64())) for c in ("low", "high")], *[(c, pa.binary()) for c in ("reps", "counts", "units")]])
-    to = max(1, min(-(-rows.count() // BLOCK), shared.partitions(spark)))
-    ordered = rows.repartitionByRange(to, *where, "along", "rep").sortWithinPartitions(*where, "along", "rep")
-    named = "width int, c0 int, c1 int, c2 int, low array<double>, high array<double>, reps binary, counts binary, units binary"
-    named = shared.staged(ordered.mapInArrow(blocks, named).withColumn("block", F.monotonically_increasing_id()), "vector-blocks")
-    # each two blocks of one cell or of neighbouring ones meet once
-    boxes = named.select("block", *where, "low", "high")
-    steps = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) >= (0, 0, 0)]
-    near = F.explode(F.array(*[F.struct(*[F.lit(v).alias(f"d{a}") for a, v in enumerate(step)]) for step in steps]))
-    left = boxes.select(F.col("block").alias("k"), "width", *[F.col(f"c{a}").alias(f"b{a}") for a in range(3)], F.col("low").alias("x_low"), F.col("high").alias("x_high"), near.alias("d"))
-    left = left.select("k", "width", *[(F.col(f"b{a}") + F.col(f"d.d{a}")).alias(f"c{a}") for a in range(3)], F.expr("d.d0 <> 0 OR d.d1 <> 0 OR d.d2 <> 0").alias("apart"), "x_low", "x_high")
-    gap = F.zip_with(F.zip_with("x_low", "high", lambda a, b: a - b), F.zip_with("low", "x_high", lambda a, b: a - b), lambda a, b: F.greatest(a, b, F.lit(0.0)))
-    far = F.aggregate(gap, F.lit(0.0), lambda total, g: total + g * g) > reach * reach + _SLACK
-    met = left.join(boxes.withColumnRenamed("block", "other"), where).where((F.col("apart") | (F.col("k") <= F.col("other"))) & ~far)
-    met = shared.staged(met.select("k", "other"), "vector-tiles")
-    data = lambda key, side: named.select(F.col("block").alias(key), *[F.col(c).alias(f"{side}_{c}") for c in ("reps", "counts", "units")])
-    pairs = met.join(data("k", "x"), "k").join(data("other", "y"), "other")
+            yield full(held)
+        if out is not None:
+            out.close()
+
+    _block = pa.schema([*[(c, pa.int64()) for c in ("d1", "d2", "rep", "n")], ("path", pa.string()), *[(c, pa.int64()) for c in ("at", "rows", "width")], ("box", pa.binary())])
+    rows = given.mapInArrow(placed, "part int, width int, place long, d1 long, d2 long, vec_id long, vector binary").join(F.broadcast(copied), ["d1", "d2"], "left").where("rep IS NULL OR vec_id = rep")
+    rows = rows.select("part", "width", "place", "d1", "d2", "vec_id", "copies", "vector")
+    ordered = rows.repartitionById(to, rows.part).sortWithinPartitions("width", "place", "d1", "d2", "vec_id")
+    made = shared.staged(ordered.mapInArrow(blocks, "d1 long, d2 long, rep long, n long, path string, at long, rows long, width long, box binary"), "vectors-folded")
+    folded = made.where("path IS NULL").select("d1", "d2", "rep", "n")
+    index = made.where("path IS NOT NULL").select("path", "at", "rows", "width", "box").orderBy("path", "at").collect()
+    box = np.array([np.frombuffer(r["box"], np.float64) for r in index]).reshape(-1, 2, BOX_AXES)
+    group = max(1, min(GROUP, len(index) // 32))
+    groups = -(-len(index) // group)
+    shipped = spark.sparkContext.broadcast(([tuple(r)[:4] for r in index], box[:, 0], box[:, 1]))
 
     def compared(batches):
+        where, low, high = shipped.value
+        kept: OrderedDict[int, tuple] = OrderedDict()
+        size, sums, up = 0, {}, {}
+
+        def block(k: int) -> tuple:
+            nonlocal size
+            if k not in kept:
+                path, at, n, width = where[k]
+                files, name = shared.arrow_files(path)
+                with files.open_input_file(name) as f:
+                    f.seek(at)
+                    data = f.read(n * (16 + width * dtype.itemsize))
+                x = units(np.frombuffer(data, dtype, offset=16 * n).reshape(n, width))
+                kept[k] = np.frombuffer(data, "<i8", n), np.frombuffer(data, "<i8", n, 8 * n), x, turned(x)
+                size += 2 * x.nbytes
+                while size > KEPT_BYTES and len(kept) > 2:
+                    _, old = kept.popitem(last=False)
+                    size -= 2 * old[2].nbytes
+            kept.move_to_end(k)
+            return kept[k]
+
+        def find(a: int) -> int:
+            while up.setdefault(a, a) != a:
+                up[a] = a = up[up[a]]
+            return a
+
+        def counts() -> pa.RecordBatch:
+            found = [(block_reps[n > 0], n[n > 0]) for block_reps, n in sums.values()]
+            sums.clear()
+            a, n = (np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.nulls(len(a), pa.int64()), pa.array(n)], ["a", "b", "links"])
+
         for batch in batches:
-            for r in batch.to_pylist():
-                rep_x, n_x, rep_y, n_y = (np.frombuffer(r[c], "<i8") for c in ("x_reps", "x_counts", "y_reps", "y_counts"))
-                x, y = (np.frombuffer(r[f"{side}_units"], np.float64).reshape(len(reps), -1) for side, reps in (("x", rep_x), ("y", rep_y)))
-                same = r["k"] == r["other"]
-                i, j = tile(x, y, turned, threshold, same)
-                shift = 0 if same else len(x)
-                links = np.zeros(shift + len(y), np.int64)
-                np.add.at(links, i, n_y[j])
-                np.add.at(links, j + shift, n_x[i])
-                forest, reps = Union(len(links)), rep_y if same else np.r_[rep_x, rep_y]
-                tree = [(a, b) for a, b in zip(i.tolist(), (j + shift).tolist(), strict=True) if forest.join(a, b)]
-                hit = np.flatnonzero(links)
-                yield pa.RecordBatch.from_pydict({"a": pa.array([*reps[hit], *(reps[a] for a, _ in tree)], pa.int64()), "b": pa.array([None] * len(hit) + [reps[b] for _, b in tree], pa.int64()), "links": pa.array([*links[hit], *[None] * len(tree)], pa.int64())})
-
-    width_join = pairs.select("k", "other", "x_reps", "x_counts", "x_units", "y_reps", "y_counts", "y_units")
-    found = shared.staged(width_join.mapInArrow(compared, "a long, b long, links long"), "vector-links")
-    groups = components(found.where("b IS NOT NULL"))
+            for number in batch.column(0).to_pylist():
+                met = pair(number, groups)
+                if met is None:
+                    continue
+                xs, ys = (np.arange(g * group, min((g + 1) * group, len(where))) for g in met)
+                gap = np.maximum(np.maximum(low[xs][:, None] - high[ys], low[ys] - high[xs][:, None]), 0)
+                tree = []
+                for r, c in np.argwhere((gap**2).sum(-1) <= reach * reach + _SLACK).tolist():
+                    k, other = int(xs[r]), int(ys[c])
+                    if met[0] == met[1] and k > other or where[k][3] != where[other][3]:
+                        continue
+                    (rep_x, n_x, x, turned_x), (rep_y, n_y, y, turned_y) = block(k), block(other)
+                    i, j = tile(x, y, turned_x, turned_y, threshold, k == other)
+                    if not len(i):
+                        continue
+                    for b, reps, at, n in ((k, rep_x, i, n_y[j]), (other, rep_y, j, n_x[i])):
+                        np.add.at(sums.setdefault(b, (reps, np.zeros(len(reps), np.int64)))[1], at, n)
+                    for a, b in zip(rep_x[i].tolist(), rep_y[j].tolist(), strict=True):
+                        s, t = find(a), find(b)
+                        if s != t:
+                            up[max(s, t)] = min(s, t)
+                            tree.append((a, b))
+                    if len(up) > KEPT_ROWS // 4:  # what is one class is told again
+                        up.clear()
+                    if len(sums) * BLOCK > KEPT_ROWS:
+                        yield counts()
+                if tree:
+                    a, b = zip(*tree, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(len(a), pa.int64())], ["a", "b", "links"])
+        yield counts()
+
+    numbers = spark.range(0, pairs_of(groups), 1, max(1, min(pairs_of(groups), shared.partitions(spark))))
+    found = shared.staged(numbers.mapInArrow(compared, "a long, b long, links long"), "vector-links")
+    linked_to = components(found.where("b IS NOT NULL"))
     links = found.where("links IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-    classes = folded.join(groups, F.col("rep") == groups.node, "left").drop("node").join(links, F.col("rep") == links.node, "left").select("embedding", "rep", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("component"))
-    member = usable.select("vec_id", "embedding").join(classes.withColumnRenamed("embedding", "_e"), F.col("embedding") == F.col("_e")).groupBy("vec_id").agg(F.max("links").alias("links"), F.min("component").alias("component"))
-    out = embeddings.select("vec_id").join(member.withColumnRenamed("vec_id", "_v"), F.col("vec_id") == F.col("_v"), "left")
+    classes = folded.join(linked_to, F.col("rep") == linked_to.node, "left").drop("node").join(links, F.col("rep") == links.node, "left").select("d1", "d2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("component"))
+    member = keys.select("vec_id", "d1", "d2").join(classes, ["d1", "d2"]).groupBy(F.col("vec_id").alias("_v")).agg(F.max("links").alias("links"), F.min("component").alias("component"))
+    out = embeddings.select("vec_id").join(member, F.col("vec_id") == F.col("_v"), "left")
     return out.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.coalesce("links", F.lit(0).cast("long"))).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"), F.coalesce(F.col("vec_id") == F.coalesce("component", "vec_id"), F.lit(False)).alias("kept"))

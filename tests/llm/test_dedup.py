@@ -1,3 +1,4 @@
+import pathlib
 import random
 import re
 
@@ -5,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from segweave.llm import components, embedding_dedup, ngram_join, substring_dedup
+from segweave.llm import components, embedding_dedup, ngram_join, shared, substring_dedup
 
 
 def least(nodes, links):
@@ -297,3 +298,27 @@ def test_cuts_match_a_plain_run(docs):
     assert sorted(got.columns) == sorted(df.columns)
     assert sorted([(x.doc_id, x.text or "") for x in got.collect()], key=str) == sorted(want, key=str)
     assert sum(len(t) for _, t in want) < 0.7 * sum(len(t or "") for _, t in rows)
+
+
+def test_embeddings_travel_once(spark):
+    """What lies in the shared folder grows with the rows, not with the tiles; large groups of copies are folded before."""
+    r = np.random.default_rng(6)
+    base = r.normal(size=(9000, 64)).astype(np.float32)
+    base[1:4500:3] = base[:4500:3] + r.normal(size=(1500, 64)) * 0.2
+    base[5000:5300], base[5300:5303] = base[0], base[0] + 0.01
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(base)], "vec_id long, embedding array<float>")
+    before = shared.made_paths()
+    got = {x.vec_id: (x.n_links, x.component_id) for x in embedding_dedup.linked(df.repartition(4)).collect()}
+    u = base.astype(float) / np.linalg.norm(base.astype(float), axis=1)[:, None]
+    links = u @ u.T >= 0.95
+    np.fill_diagonal(links, False)
+    top = least(range(len(u)), list(zip(*np.nonzero(links), strict=True)))
+    assert got == {i: (int(links[i].sum()), top[i]) for i in range(len(u))}
+    files = [f for p in shared.made_paths() if p not in before for f in pathlib.Path(p.removeprefix("file://")).rglob("*") if f.is_file()]
+    assert sum(f.stat().st_size for f in files) < 2 * base.nbytes
+
+
+@pytest.mark.parametrize("groups", [1, 2, 3, 6, 7])
+def test_groups_of_blocks_meet_once(groups):
+    met = [embedding_dedup.pair(k, groups) for k in range(embedding_dedup.pairs_of(groups))]
+    assert sorted(tuple(sorted(m)) for m in met if m) == [(a, b) for a in range(groups) for b in range(a, groups)]
