@@ -3,8 +3,8 @@
 The pre-tokenizer of byte-level BPE never joins what stands left and right of a
 single space between two characters that are not white space, so a text may be
 encoded piece by piece, cut in front of each such space. Arrow cuts a batch of
-texts and numbers its distinct pieces; those that no earlier batch had are
-encoded by the library, and the texts are put together by these numbers.
+texts, numbers its distinct pieces and parts them from the marks at their ends; those that no earlier
+batch had are encoded by the library, and the texts are put together by these numbers.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ import itertools
 import json
 import os
 import re
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +22,8 @@ from . import shared
 
 #: Distinct pieces that a Python worker keeps, in two generations.
 CACHE_PIECES = 800_000
+#: Bytes of texts and ids from which a worker's cache is emptied.
+STEM_BYTES = 256 << 20
 #: Bytes of text that are cut and looked up at once.
 BATCH_BYTES = 4 << 20
 #: White space but space and line feed, a fixed Unicode list.
@@ -119,6 +120,36 @@ class Memo:
         return found + self.first(heads.dictionary.to_pylist(), list), place, bounds
 
 
+class Stems:
+    """What `fill` finds for texts, kept in Arrow arrays and found again by one hash join for a batch; those used longest ago go first."""
+
+    def __init__(self, fill, most: int):
+        self.fill, self.most, self.turn = fill, most, 0
+        self.clear()
+
+    def clear(self) -> None:
+        self.texts, self.found, self.used = pa.array([], pa.string()), pa.array([], pa.binary()), np.zeros(0, np.int64)
+
+    def __call__(self, texts: pa.StringArray) -> pa.BinaryArray:
+        """What was found for each text; new texts are best given once."""
+        at = pc.fill_null(pc.index_in(texts, value_set=self.texts), -1).to_numpy(zero_copy_only=False).copy()
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            fresh = texts.take(pa.array(new))
+            at[new] = len(self.texts) + np.arange(len(new))
+            self.texts, self.found = pa.concat_arrays([self.texts, fresh]), pa.concat_arrays([self.found, self.fill(fresh)])
+            self.used = np.r_[self.used, np.zeros(len(new), np.int64)]
+        self.turn += 1
+        self.used[at] = self.turn
+        out = self.found.take(pa.array(at))
+        if self.texts.nbytes + self.found.nbytes > STEM_BYTES:
+            self.clear()
+        elif len(self.texts) > self.most:
+            kept = pa.array(np.sort(np.argpartition(self.used, -(self.most // 2))[-(self.most // 2) :]))
+            self.texts, self.found, self.used = self.texts.take(kept), self.found.take(kept), self.used[kept.to_numpy()]
+        return out
+
+
 class PieceEncoder:
     """ids of whole texts as little-endian bytes of `width` per id."""
 
@@ -132,56 +163,65 @@ class PieceEncoder:
         self.dtype = np.dtype("u2" if max(vocabulary.values()) < 1 << 16 else "u4")
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for token, i in vocabulary.items() if token[:1] in SPACE_SYMBOLS]] = True
-        self.marks = {"": b""}
-        self.memo = Memo(self.fill)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        code = {2: "H", 4: "I"}[self.dtype.itemsize]
-        return [array(code, f.ids).tobytes() for f in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode_joined(self, texts: list[str]) -> list[bytes]:
-        """encode, by joined runs of texts where each text begins with its only white space: just there an id begins with white space."""
-        out: list[bytes] = []
-        for at in range(0, len(texts), JOINED):
-            part = texts[at : at + JOINED]
+        self.stems = Stems(self.fill, CACHE_PIECES)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(f.ids, self.dtype) for f in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def fill(self, fresh: pa.StringArray) -> pa.BinaryArray:
+        """ids of texts; those that begin with white space are encoded by joined runs where it is each one's only white space: just there an id begins with white space."""
+        opened = pc.match_substring_regex(fresh, "\\A[ \n]").to_numpy(zero_copy_only=False)
+        order = np.r_[np.flatnonzero(opened), np.flatnonzero(~opened)]
+        texts, runs = fresh.take(pa.array(order)).to_pylist(), np.count_nonzero(opened)
+        ids, sizes = [], []
+
+        def apart(part: list[str]) -> None:
+            found = self.encode(part)
+            ids.extend(found)
+            sizes.append([len(f) for f in found])
+
+        for at in range(0, runs, JOINED):
+            part = texts[at : min(at + JOINED, runs)]
             whole = "".join(part)
-            if whole.count(" ") + whole.count("\n") == len(part) and all(t[:1] in (" ", "\n") for t in part) and not _ANY_OTHER_SPACE.search(whole):
-                ids = np.array(self.model.encode_batch_fast([whole], add_special_tokens=False)[0].ids, self.dtype)
-                starts = np.flatnonzero(self.opens[ids])
+            if whole.count(" ") + whole.count("\n") == len(part) and not _ANY_OTHER_SPACE.search(whole):
+                found = self.encode([whole])[0]
+                starts = np.flatnonzero(self.opens[found])
                 if len(starts) == len(part):
-                    data, size = ids.tobytes(), self.dtype.itemsize
-                    out += [data[a:b] for a, b in itertools.pairwise([*(starts * size).tolist(), len(data)])]
+                    ids.append(found)
+                    sizes.append(np.diff(starts, append=len(found)))
                     continue
-            out += self.encode(part)
-        return out
-
-    def fill(self, known: dict[str, bytes], fresh: list[str], texts: list[str]) -> None:
+            apart(part)
+        for at in range(runs, len(texts), 4096):
+            apart(texts[at : at + 4096])
+        ends = np.cumsum(np.r_[0, *sizes], dtype=np.int64) * self.dtype.itemsize
+        found = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.concatenate([np.zeros(0, self.dtype), *ids]))])
+        return found.take(pa.array(np.argsort(order)))
+
+    def pieces_ids(self, texts: pa.StringArray) -> pa.BinaryArray:
         """Marks that end a piece after a Latin letter are a pre-token of their own, so such a piece is its stem's ids and the marks'."""
-        marks, wanted, ends = self.marks, {}, []
-        for piece, text in zip(fresh, texts, strict=True):
-            stem = text.rstrip(MARKS)
-            if len(stem) < len(text) and "a" <= stem[-1:].lower() <= "z":
-                mark = text[len(stem) :]
-                if mark not in marks:
-                    marks[mark] = self.encode([mark])[0]
-                ends.append((piece, stem, mark))
-                found = known.get(piece[: -len(mark)])
-                if found is not None:
-                    wanted[stem] = found
-                else:
-                    wanted.setdefault(stem)
-            else:
-                ends.append((piece, text, ""))
-                wanted.setdefault(text)
-        need = [w for w, found in wanted.items() if found is None]
-        for at in range(0, len(need), 4096):
-            wanted.update(zip(need[at : at + 4096], self.encode_joined(need[at : at + 4096]), strict=True))
-        for piece, stem, mark in ends:
-            known[piece] = wanted[stem] + marks[mark]
+        marked = pc.match_substring_regex(texts, f"[A-Za-z][{MARKS}]+\\z")
+        stems = pc.if_else(marked, pc.utf8_rtrim(texts, characters=MARKS), texts).dictionary_encode()
+        marks = pc.struct_field(pc.extract_regex(texts.filter(marked), f"(?P<mark>[{MARKS}]+)\\z"), "mark").dictionary_encode()
+        found = self.stems(pa.concat_arrays([stems.dictionary, marks.dictionary]))
+        # the last one is what pieces without marks end with
+        ends = pa.concat_arrays([found.slice(len(stems.dictionary)), pa.array([b""], pa.binary())])
+        end = np.full(len(texts), len(ends) - 1)
+        end[marked.to_numpy(zero_copy_only=False)] = marks.indices.to_numpy(zero_copy_only=False)
+        return pc.binary_join_element_wise(found.take(stems.indices), ends.take(pa.array(end)), pa.scalar(b"", pa.binary()))
 
     def __call__(self, texts: list[str] | pa.Array) -> list[bytes]:
-        found, place, bounds = self.memo(texts)
-        joined = pa.array(found, pa.binary()).take(pa.array(place))
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        cut = pieces(texts)
+        bounds = np.r_[0, np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False), dtype=np.int64)]
+        flat = cut.flatten()
+        coded, heads = flat.dictionary_encode(), flat.take(pa.array(bounds[:-1])).dictionary_encode()
+        place = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        place[bounds[:-1]] = len(coded.dictionary) + heads.indices.to_numpy(zero_copy_only=False)
+        # pieces that only begin texts aren't looked up among the others
+        used = np.bincount(place, minlength=len(coded.dictionary) + len(heads.dictionary)) > 0
+        later = coded.dictionary.filter(pa.array(used[: len(coded.dictionary)]))
+        later = pc.if_else(pc.starts_with(later, "\n"), later, pc.binary_join_element_wise("", later, " "))
+        joined = self.pieces_ids(pa.concat_arrays([later, heads.dictionary])).take(pa.array((np.cumsum(used) - 1)[place]))
         _, ends, data = joined.buffers()
         data = memoryview(data) if data else b""
         at = np.frombuffer(ends, np.int32)[bounds].tolist() if len(place) else [0]

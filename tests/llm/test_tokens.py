@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from segweave.llm import token_counts, token_output
+from segweave.llm import token_counts, token_output, tokens
 from segweave.llm.tokens import PieceEncoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +24,25 @@ def test_pieces_give_what_whole_texts_give(text):
     assert COUNT([text]) == [len(whole)]
 
 
+def test_each_stem_is_encoded_once_and_old_ones_go(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 300)
+    encode, given = PieceEncoder(PATH), []
+    fill = encode.stems.fill
+    encode.stems.fill = lambda fresh: given.extend(fresh.to_pylist()) or fill(fresh)
+    r = random.Random(5)
+    texts = [" ".join(r.choice(["stem", "été", "<|endoftext|>", "!", "x\n"]) + r.choice(["", ",", ".", "?!", "7"]) for _ in range(60)) for _ in range(5)]
+    for _ in range(2):
+        assert [np.frombuffer(x, encode.dtype).tolist() for x in encode(texts)] == [MODEL.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(given) == len(set(given)) and " stem" in given and " stem," not in given
+    many = [" ".join(f"w{r.randrange(10**6)}{r.choice('ab')}{r.choice(['', '.'])}" for _ in range(200)) for _ in range(9)]
+    for t in many + texts + many:
+        assert np.frombuffer(encode([t])[0], encode.dtype).tolist() == MODEL.encode(t, add_special_tokens=False).ids
+        assert len(encode.stems.texts) <= 300
+    monkeypatch.setattr(tokens, "STEM_BYTES", 1000)
+    assert encode(["long" * 999]) == PieceEncoder(PATH)(["long" * 999]) and len(encode.stems.texts) == 0
+    assert encode([]) == [] and encode([None, ""]) == [b"", b""]
+
+
 def test_counts_of_long_runs_and_specials():
     texts = ["a" * 5000, "ab" * 3001, "<|endoftext|>" * 3, " <|endoftext|> x<|endoftext|>", "", "!" * 777, " " * 99, "\n \n" * 40, "".join(random.Random(1).choice("etaoin") for _ in range(20000))]
     assert COUNT(texts) == [len(MODEL.encode(t, add_special_tokens=False).ids) for t in texts]
