@@ -47,8 +47,8 @@ from .components import Union, components
 WORDS = 5
 #: Bands of the first round and the minimum hashes of each.
 BANDS, ROWS = 4, 4
-#: Shingles of a block of a bucket in the first round and in the second, sets of a tree's leaf.
-FIRST_BLOCK, BLOCK_SHINGLES, LEAF = 60_000, 600_000, 16
+#: Shingles of a block of a bucket in the first round and in the second, sets of a block (a tree's bitmaps take sets times shingles), sets of a tree's leaf.
+FIRST_BLOCK, BLOCK_SHINGLES, BLOCK_SETS, LEAF = 60_000, 600_000, 2000, 16
 #: Sets of the sample that tells common shingles, in how many of them one is common, and how many are listed at most.
 SAMPLE_SETS, COMMON_IN, COMMON_MOST = 8192, 16, 100_000
 #: Shingles that a task looks at together.
@@ -154,14 +154,15 @@ def common_shingles(rows: DataFrame) -> np.ndarray:
 def buckets(members: DataFrame, pairwise: bool, block: int = BLOCK_SHINGLES) -> DataFrame:
     """bucket, rep, component of the buckets `key` that hold several classes, from members key, rep, n, component.
 
-    Buckets of equal members are kept once. Those of more than `block` shingles
+    Buckets of equal members are kept once. Those of more than `block` shingles, or of more than BLOCK_SETS sets,
     are dealt into blocks; pairwise, each two blocks meet, else each block holds the
     bucket's least member as well. Pairwise, buckets that overlap are one bucket as
     long as they hold no more than a block together, so that no set travels twice.
     Counts are aggregated before members move, and a large bucket's members are dealt by salt.
     """
     members = members.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(shared.partitions(members.sparkSession))))
-    part = members.groupBy("key", "salt").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rep")).alias("mix"), F.sum("n").alias("words"), F.min("rep").alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high"))
+    weight = F.greatest("n", F.lit(block // BLOCK_SETS))
+    part = members.groupBy("key", "salt").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rep")).alias("mix"), F.sum(weight).alias("words"), F.min("rep").alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high"))
     whole = part.groupBy("key").agg(F.sum("size").alias("size"), F.bit_xor("mix").alias("mix"), F.sum("words").alias("words"), F.min("pivot").alias("pivot"), F.min("low").alias("low"), F.max("high").alias("high"), F.collect_list("salt").alias("salts"))
     kept = whole.where("size > 1 AND low < high").groupBy("size", "mix", "words", "pivot").agg(F.min(F.struct("key", "salts")).alias("own"))
     kept = kept.select("own.key", "pivot", F.ceil(F.col("words") / block).alias("blocks"), F.explode("own.salts").alias("salt"))
@@ -174,13 +175,28 @@ def buckets(members: DataFrame, pairwise: bool, block: int = BLOCK_SHINGLES) ->
     found = shared.staged(found.select("key", "rep", "n", "component", "pivot", "blocks"), "buckets-found")
     groups = components(found.select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
     sets = shared.staged(found.select("rep", "n", "component").distinct().join(groups.select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "rep"), "bucket-clusters")
-    large = shared.staged(sets.groupBy("cluster").agg(F.sum("n").alias("words")).where(F.col("words") > block).select("cluster"), "large-clusters")
+    large = shared.staged(sets.groupBy("cluster").agg(F.sum(weight).alias("words")).where(F.col("words") > block).select("cluster"), "large-clusters")
     small = sets.join(large, "cluster", "left_anti").select(F.xxhash64(F.lit("cluster"), "cluster").alias("bucket"), "rep", "component")
     rest = found.join(shared.rows_with(sets, large, "cluster").select("rep"), "rep", "left_semi")
     names = F.transform(every, lambda other: F.xxhash64("key", F.least(mine, other), F.greatest(mine, other)))
     return small.unionByName(rest.select(F.explode(names).alias("bucket"), "rep", "component"))
 
 
+def by_part(batches):
+    """Lists of (kind, columns) of one part after another, from rows part, kind and four columns in order of part."""
+    held, now = [], None
+    for batch in shared.steady(batches):
+        part, kind = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for r, p in enumerate(part):
+            if p != now and held:
+                yield now, held
+                held = []
+            now = p
+            held.append((kind[r], [batch.column(2 + c)[r].as_buffer() for c in range(4)]))
+    if held:
+        yield now, held
+
+
 def prefixes(docs: DataFrame, classes: DataFrame, common: np.ndarray, parts: int) -> DataFrame:
     """key, rep, n, component: the shingles of each set's prefix that several classes hold.
 
@@ -235,20 +251,6 @@ def prefixes(docs: DataFrame, classes: DataFrame, common: np.ndarray, parts: int
             other = np.repeat(rep != comp, size)
             yield packed(_CLASS, (name[other] >> np.uint64(32)).astype(np.int64), [name[other].astype(np.uint32), np.repeat(comp, size)[other], np.repeat(rep, size)[other]])
 
-    def by_part(batches):
-        """Lists of (kind, columns) of one part after another."""
-        held, now = [], None
-        for batch in batches:
-            part, kind = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for r, p in enumerate(part):
-                if p != now and held:
-                    yield now, held
-                    held = []
-                now = p
-                held.append((kind[r], [batch.column(2 + c)[r].as_buffer() for c in range(4)]))
-        if held:
-            yield now, held
-
     def joined(held, kind: int, types: tuple) -> list[np.ndarray]:
         """The arrays of one kind."""
         own = [columns for k, columns in held if k == kind]
@@ -380,7 +382,7 @@ def compared(docs: DataFrame, members: DataFrame) -> DataFrame:
             return [(held[i][0], held[j][0]) for i, j in tree.links(union)]
 
         held, now = [], None
-        for batch in batches:
+        for batch in shared.steady(batches):
             out = []
             for bucket, rep, component, data in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if bucket != now and held:

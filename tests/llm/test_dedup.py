@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +98,26 @@ def test_blocks_hold_what_meets(spark, pairwise):
     assert len({r.bucket for r in whole}) == 1 and len(whole) == 8  # equal members once, one class and one member not at all
 
 
+def test_blocks_hold_a_bounded_number_of_sets(spark):
+    """A tree's bitmaps take sets times shingles, so many short sets are more than a block too."""
+    most = ngram_join.BLOCK_SETS
+    members = spark.range(3 * most).selectExpr("1L AS key", "id AS rep", "5L AS n", "id AS component")
+    got = {}
+    for r in ngram_join.buckets(members, True).collect():
+        got.setdefault(r.bucket, set()).add(r.rep)
+    assert set().union(*got.values()) == set(range(3 * most)) and max(map(len, got.values())) < 2.3 * most
+    assert len(got) == 6 and sum(map(len, got.values())) == 3 * 3 * most
+
+
+def test_parts_are_whole_and_memory_is_given_back(monkeypatch):
+    back = []
+    monkeypatch.setattr(shared, "give_back", lambda: back.append(1))
+    rows = [(1, 0, b"a"), (1, 2, b"b"), (2, 2, b"c"), (4, 1, b"d")]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), *[pa.array([r[2] for r in rows])] * 4], ["part", "kind", "c0", "c1", "c2", "c3"])
+    found = [(p, [(k, bytes(c[3])) for k, c in held]) for p, held in ngram_join.by_part(iter([batch.slice(0, 1), batch.slice(1, 2), batch.slice(3)]))]
+    assert found == [(1, [(0, b"a"), (2, b"b")]), (2, [(2, b"c")]), (4, [(1, b"d")])] and back
+
+
 @pytest.mark.parametrize("listed", ["none", "some", "all"])
 def test_prefixes_lose_no_link(spark, docs, listed):
     rows = near_copies(3, 40) + [(1000 + i, " ".join([f"p{k}" for k in range(30)] + [f"q{i}_{k}" for k in range(i)])) for i in range(20)]
