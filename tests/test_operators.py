@@ -271,3 +271,30 @@ def test_extension_tries_what_the_plain_loops_try():
             if (v := alignment.distance(said, " ".join(ref[s:end]))) < best:
                 best, start = v, s
         assert alignment._extended(ref, said, a, b, d, alignment.Config()) == (pytest.approx(best), start, end)
+
+
+def test_many_edits_at_once_and_documents_together(spark):
+    import random
+
+    import numpy as np
+
+    from segweave.operators import edits
+
+    draw = random.Random(3)
+    strings = ["".join(draw.choice("abé\U0001f600 ") for _ in range(n)) for n in (0, 1, 5, 63, 64, 65, 128, 130) for _ in range(4)]
+    a, b = (np.array([draw.randrange(len(strings)) for _ in range(300)]) for _ in range(2))
+    plain = [int(alignment.prefix_edits(strings[i], strings[j])[-1]) for i, j in zip(a, b, strict=True)]
+    assert edits.edits(strings, a, b).tolist() == plain == [edits.edits_of(strings[i], strings[j]) for i, j in zip(a, b, strict=True)]
+    words = ["w%03d" % draw.randrange(60) for _ in range(200)]
+    docs = [(words[k : k + 90], [" ".join(words[m : m + 7]) + "x" * (m % 2) for m in range(k, k + 80, 7)]) for k in range(0, 100, 9)] + [([], ["a"]), (["a"], [])]
+    assert alignment.align_many(docs) == [alignment.align_document(*d) for d in docs]
+    gaps = [(r, " ".join(t).split()) for r, t in docs]
+    assert alignment.dp_aligned(gaps) == [alignment.dp_align(*g) for g in gaps]
+
+
+def test_alignment_queries_shuffle_texts_once(spark):
+    from segweave.plans.queries import QUERIES
+
+    for name in ("align_documents", "span_extension", "word_anchors", "lis_chain", "ngram_anchors"):
+        plan = str(QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan())
+        assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan, name
