@@ -57,20 +57,56 @@ def discover(spark: SparkSession, root: str, limit: int | None = None) -> DataFr
     return found if limit is None else found.limit(limit)
 
 
+#: Directories of a published folder: so many whatever the number of recordings, whose files would else be tiny and countless.
+SHARDS = 64
+
+
 def publish(rows: DataFrame, path: str) -> None:
-    """Write shards, one directory a recording; those in rows replace what was there, others stay."""
-    rows.repartition("source_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").parquet(path)
+    """Write shards, each of the recordings whose hash falls in it; those in rows replace what was there, others stay.
+
+    What a shard keeps is staged with the new rows before the shard is replaced, and a replacement that was
+    broken off is ended by the next publication, so that no recording is lost.
+    """
+    spark = rows.sparkSession
+    _replace(spark, path)
+    placed = rows.withColumn("shard", F.pmod(F.xxhash64("source_id"), F.lit(SHARDS)).cast("int"))
+    if _exists(spark, path) and _any_shard(spark, path):
+        old = spark.read.option("mergeSchema", True).parquet(path)
+        ids = rows.select(F.col("source_id").alias("_id")).distinct()
+        kept = old.join(F.broadcast(placed.select("shard").distinct()), "shard", "left_semi").join(ids, F.col("source_id").eqNullSafe(F.col("_id")), "left_anti")
+        _write(placed.unionByName(kept, allowMissingColumns=True), f"{path}/_staged")
+        _replace(spark, path)
+    else:
+        _write(placed, path)
+
+
+def _write(placed: DataFrame, path: str) -> None:
+    placed.repartition(SHARDS, "shard").sortWithinPartitions("shard", "source_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+
+
+def _replace(spark: SparkSession, path: str) -> None:
+    """Put the shards that are staged whole in place of the old ones."""
+    staged = f"{path}/_staged"
+    if _exists(spark, f"{staged}/_SUCCESS") and _any_shard(spark, staged):
+        _write(spark.read.option("mergeSchema", True).parquet(staged), path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _any_shard(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return any(s.getPath().getName().startswith("shard=") for s in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at))
 
 
 def published(spark: SparkSession, path: str) -> DataFrame:
     """The distinct recordings published; none where nothing is."""
-    return spark.read.parquet(path).select("source_id").distinct() if _exists(spark, path) else spark.createDataFrame([], "source_id string")
+    return spark.read.parquet(path).select("source_id").distinct() if _exists(spark, path) and _any_shard(spark, path) else spark.createDataFrame([], "source_id string")
 
 
 def read_shards(spark: SparkSession, path: str, groups: list[str] | None = None) -> DataFrame:
     """Rows of the shards without their audio, so that the scan never touches it."""
     df = spark.read.option("mergeSchema", True).parquet(path)
-    df = df.drop("audio")
+    df = df.drop("audio", "shard")
     return df.where(F.split("source_id", "/")[0].isin(groups)) if groups else df
 
 

@@ -20,7 +20,7 @@ def ingest(spark: SparkSession, source: str, target: str, checkpoint: str, schem
     """Read the JSONL files that are new since the last run and replace their recordings in target.
 
     The checkpoint makes a rerun do nothing; a recording that comes again
-    overwrites its own partition, and of a recording that several new files hold, the newest
+    overwrites its own rows, and of a recording that several new files hold, the newest
     file's rows are taken.
     """
 

@@ -298,3 +298,17 @@ def test_alignment_queries_shuffle_texts_once(spark):
     for name in ("align_documents", "span_extension", "word_anchors", "lis_chain", "ngram_anchors"):
         plan = str(QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan())
         assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan, name
+
+
+def test_shards_are_few_and_a_broken_off_replacement_is_ended(spark, tmp_path):
+    at = tmp_path / "out"
+    rows = spark.range(600).select(F.concat(F.lit("g/"), F.col("id")).alias("source_id"), F.lit(1).alias("v"))
+    io.publish(rows, str(at))
+    assert len(list(at.rglob("*.parquet"))) <= io.SHARDS
+    io.publish(rows.where("source_id LIKE 'g/1%'").withColumn("v", F.lit(2)), str(at))
+    got = {r.source_id: r.v for r in io.read_shards(spark, str(at)).collect()}
+    assert got == {f"g/{k}": 1 + str(k).startswith("1") for k in range(600)} and io.published(spark, str(at)).count() == 600
+    staged = spark.read.parquet(str(at)).withColumn("v", F.lit(3))
+    io._write(staged, str(at / "_staged"))
+    io.publish(rows.where("source_id = 'g/5'"), str(at))
+    assert sorted(r.v for r in io.read_shards(spark, str(at)).collect()) == [1] + [3] * 599 and not (at / "_staged").exists()
