@@ -74,14 +74,15 @@ def publish(rows: DataFrame, path: str) -> None:
         old = spark.read.option("mergeSchema", True).parquet(path)
         ids = rows.select(F.col("source_id").alias("_id")).distinct()
         kept = old.join(F.broadcast(placed.select("shard").distinct()), "shard", "left_semi").join(ids, F.col("source_id").eqNullSafe(F.col("_id")), "left_anti")
-        _write(placed.unionByName(kept, allowMissingColumns=True), f"{path}/_staged")
+        _write(placed.unionByName(kept, allowMissingColumns=True), f"{path}/_staged", "static")
         _replace(spark, path)
     else:
         _write(placed, path)
 
 
-def _write(placed: DataFrame, path: str) -> None:
-    placed.repartition(SHARDS, "shard").sortWithinPartitions("shard", "source_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+def _write(placed: DataFrame, path: str, others: str = "dynamic") -> None:
+    # only a static overwrite leaves a mark that it was ended
+    placed.repartition(SHARDS, "shard").sortWithinPartitions("shard", "source_id").write.mode("overwrite").option("partitionOverwriteMode", others).partitionBy("shard").parquet(path)
 
 
 def _replace(spark: SparkSession, path: str) -> None:

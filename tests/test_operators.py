@@ -309,6 +309,6 @@ def test_shards_are_few_and_a_broken_off_replacement_is_ended(spark, tmp_path):
     got = {r.source_id: r.v for r in io.read_shards(spark, str(at)).collect()}
     assert got == {f"g/{k}": 1 + str(k).startswith("1") for k in range(600)} and io.published(spark, str(at)).count() == 600
     staged = spark.read.parquet(str(at)).withColumn("v", F.lit(3))
-    io._write(staged, str(at / "_staged"))
+    io._write(staged, str(at / "_staged"), "static")
     io.publish(rows.where("source_id = 'g/5'"), str(at))
     assert sorted(r.v for r in io.read_shards(spark, str(at)).collect()) == [1] + [3] * 599 and not (at / "_staged").exists()
